@@ -7,8 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 16
@@ -21,15 +22,36 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def by_sentence(sentences: DataFrame) -> DataFrame:
-    """Hash-partition compact sentence rows, so that exploded tokens can be regrouped without a shuffle."""
+    """Hash-partition compact sentence rows, so that exploded tokens can be regrouped without a shuffle.
+
+    Takes a table that has not been shuffled yet. One that has fewer splits than there are cores gets
+    one partition per core, any other the configured number of shuffle partitions.
+    """
     spark = sentences.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return sentences.repartition(n, "sid")
+    cores = spark.sparkContext.defaultParallelism
+    few = sentences.rdd.getNumPartitions() <= cores
+    return sentences.repartition(cores if few else int(spark.conf.get("spark.sql.shuffle.partitions")), "sid")
+
+
+def _bytes(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType):
+        size = F.octet_length(field.name)
+    elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
+        size = F.octet_length(F.array_join(field.name, " "))
+    elif isinstance(field.dataType, T.ArrayType):
+        size = 8 * F.size(field.name)
+    else:
+        size = F.lit(8)
+    return F.coalesce(size, F.lit(0)) + 8
 
 
 def data_bytes(df: DataFrame) -> int:
-    """Size of a table's values as text: an upper-end estimate that one cheap aggregate computes."""
-    return df.select(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("n")).first()["n"] or 0
+    """Size of a table's values: one aggregate, nothing is moved."""
+    sizes = [_bytes(f) for f in df.schema.fields]
+    total = sizes[0]
+    for other in sizes[1:]:
+        total = total + other
+    return df.agg(F.sum(total.cast("long")).alias("n")).first()["n"] or 0
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.arrays import let
-from tagloom.functions.scale import fits_broadcast, lookup_join, spread
+from tagloom.functions.scale import by_sentence, fits_broadcast, lookup_join, settle, spread  # noqa: F401
 from tagloom.operators.tokens import bio_tag, located_tokens
 
 SPANS = "array<struct<start:int,end:int,type:string>>"
@@ -23,18 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1 ``sid, text``: the non-blank lines of every document."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
-    return lines.filter(F.trim("text") != "").select(
+def sentences(spark: SparkSession, sf_dir: str, clustered: bool = False) -> DataFrame:
+    """V1 ``sid, text``: the non-blank lines of every document.
+
+    ``clustered`` shuffles the compact sentence rows once, for jobs that regroup tokens by sentence.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = (docs if clustered else spread(docs)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
+    rows = lines.filter(F.trim("text") != "").select(
         F.concat(F.col("doc_id").cast("string"), F.lit(".s"), F.col("line_no").cast("string")).alias("sid"), "text"
     )
+    return by_sentence(rows) if clustered else rows
 
 
-def located(spark: SparkSession, sf_dir: str) -> DataFrame:
+def located(spark: SparkSession, sf_dir: str, clustered: bool = False) -> DataFrame:
     """Sentences with ``tokens``."""
-    return sentences(spark, sf_dir).select("sid", "text", located_tokens(F.col("text")).alias("tokens"))
+    return sentences(spark, sf_dir, clustered).select("sid", "text", located_tokens(F.col("text")).alias("tokens"))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,26 +80,26 @@ def gold_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_spans(spark: SparkSession, sf_dir: str, clustered: bool = False) -> DataFrame:
     """Sentences with ``tokens`` and ``spans`` (empty where there is none).
 
     Only sentences that have spans take part in the regrouping; each span list belongs to one sentence.
     """
-    spans = (
+    spans = settle(
         gold_spans(spark, sf_dir)
         .groupBy("sid")
         .agg(F.sort_array(F.collect_list(F.struct("ent_ix", "start", "end", "type"))).alias("s"))
         .select("sid", F.transform("s", lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), x.type.alias("type"))).alias("spans"))
     )
     side = F.broadcast(spans) if fits_broadcast(spans) else spans
-    return located(spark, sf_dir).join(side, "sid", "left").withColumn(
+    return located(spark, sf_dir, clustered).join(side, "sid", "left").withColumn(
         "spans", F.coalesce("spans", F.array().cast(SPANS))
     )
 
 
-def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tagged(spark: SparkSession, sf_dir: str, clustered: bool = False) -> DataFrame:
     """Sentences with ``tokens`` and gold ``tags``."""
-    return bio_tag(with_spans(spark, sf_dir)).select("sid", "text", "tokens", "tags")
+    return bio_tag(with_spans(spark, sf_dir, clustered)).select("sid", "text", "tokens", "tags")
 
 
 def degraded(tokens_col, tags_col) -> F.Column:
@@ -108,15 +112,15 @@ def degraded(tokens_col, tags_col) -> F.Column:
     )
 
 
-def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predicted(spark: SparkSession, sf_dir: str, clustered: bool = False) -> DataFrame:
     """Sentences with ``tokens`` and predicted ``labels``."""
-    return tagged(spark, sf_dir).select("sid", "tokens", degraded(F.col("tokens"), F.col("tags")).alias("labels"))
+    return tagged(spark, sf_dir, clustered).select("sid", "tokens", degraded(F.col("tokens"), F.col("tags")).alias("labels"))
 
 
-def predicted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predicted_labels(spark: SparkSession, sf_dir: str, clustered: bool = True) -> DataFrame:
     """V5 ``sid, tok_ix, form, start, end, label``."""
     rows = F.arrays_zip(F.col("tokens"), F.col("labels"))
-    return predicted(spark, sf_dir).select("sid", F.posexplode(rows).alias("tok_ix", "r")).select(
+    return predicted(spark, sf_dir, clustered).select("sid", F.posexplode(rows).alias("tok_ix", "r")).select(
         "sid", "tok_ix", "r.tokens.form", "r.tokens.start", "r.tokens.end", F.col("r.labels").alias("label")
     )
 
@@ -130,7 +134,7 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     offset = F.concat_ws(
         ";", F.concat_ws("-", "start", "own_end"), F.when(F.col("next_start").isNotNull(), F.concat_ws("-", "next_start", "end"))
     )
-    spans = (
+    spans = settle(
         gold_spans(spark, sf_dir).withColumn("offset", offset)
         .groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("ent_ix", "start", "end", "offset", "type"))).alias("s"))
     )

@@ -411,7 +411,7 @@ def _nb_labels(s, d) -> DataFrame:
 
 
 def f5_predict_naive_bayes(s, d):
-    return _nb_labels(s, d).select("sid", "tok_ix", "label", F.round("score", 4).alias("score"))
+    return _nb_labels(s, d).select("sid", "tok_ix", "label", "score")
 
 
 # ---------------------------------------------------------------- CRF

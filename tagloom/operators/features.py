@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tagloom.functions import text as tx
-from tagloom.functions.arrays import let, strings
+from tagloom.functions.arrays import let
 
 AFFIX_LENGTHS = (3, 4, 5)
 NGRAM, MAX_NGRAMS = 2, 5
@@ -42,45 +42,31 @@ def token_rows(sentences: DataFrame) -> DataFrame:
     Needs ``sid`` and ``tokens``; uses ``tags`` when present. Neighbours are structs
     ``<form,lower,casing>``, null beyond the ends of the sentence.
     """
-    tags = F.col("tags") if "tags" in sentences.columns else F.lit(None).cast("array<string>")
-    described = F.zip_with(
-        F.col("tokens"),
-        tags if "tags" in sentences.columns else F.transform("tokens", lambda t: F.lit(None).cast("string")),
-        lambda t, tag: F.struct(
-            t.form.alias("form"),
-            t.start.alias("start"),
-            t.end.alias("end"),
-            tag.alias("tag"),
-            F.lower(t.form).alias("lower"),
-            tx.casing(t.form).alias("casing"),
-        ),
+    tags = F.col("tags") if "tags" in sentences.columns else F.array().cast("array<string>")
+    described = F.transform(
+        "tokens",
+        lambda t: F.struct(t.form.alias("form"), F.lower(t.form).alias("lower"), tx.casing(t.form).alias("casing")),
     )
 
-    def neighbour(all_tokens: Column, i: Column) -> Column:
-        return let(
-            F.get(all_tokens, i),
-            lambda t: F.when(
-                t.isNotNull(), F.struct(t.form.alias("form"), t.lower.alias("lower"), t.casing.alias("casing"))
-            ),
-        )
-
-    def row(all_tokens: Column, t: Column, i: Column) -> Column:
+    def row(words: Column, labels: Column, t: Column, i: Column) -> Column:
         return F.struct(
             i.alias("tok_ix"),
-            t.form.alias("form"),
             t.start.alias("start"),
             t.end.alias("end"),
-            t.tag.alias("tag"),
-            t.lower.alias("lower"),
-            t.casing.alias("casing"),
-            neighbour(all_tokens, i - 2).alias("prev2"),
-            neighbour(all_tokens, i - 1).alias("prev"),
-            neighbour(all_tokens, i + 1).alias("next"),
-            neighbour(all_tokens, i + 2).alias("next2"),
+            F.get(labels, i).alias("tag"),
+            F.get(words, i).alias("word"),
+            F.get(words, i - 2).alias("prev2"),
+            F.get(words, i - 1).alias("prev"),
+            F.get(words, i + 1).alias("next"),
+            F.get(words, i + 2).alias("next2"),
         )
 
-    rows = let(described, lambda ts: F.transform(ts, lambda t, i: row(ts, t, i)))
-    return sentences.select("sid", F.inline(rows))
+    rows = let(
+        described, lambda words: let(tags, lambda labels: F.transform("tokens", lambda t, i: row(words, labels, t, i)))
+    )
+    return sentences.select("sid", F.inline(rows)).select(
+        "sid", "tok_ix", "word.form", "start", "end", "tag", "word.lower", "word.casing", *NEIGHBOURS
+    )
 
 
 def neighbours_by_window(tokens: DataFrame) -> DataFrame:
@@ -181,18 +167,16 @@ def assemble_features(
 ) -> DataFrame:
     """``token_features`` with templates in fixed order: basic, character, context, pos, embedding, lexicon.
 
-    ``embedding`` is an array column; ``pos`` and ``lexicon`` are (nullable) string columns.
+    ``embedding`` is an array column; ``pos`` and ``lexicon`` are (nullable) string columns. Tokens hold
+    no white space, so joining on tabs (which skips nulls) and splitting gives the list without a lambda.
     """
     form, lower, casing = F.col("form"), F.col("lower"), F.col("casing")
-    head = basic_templates(form, lower) + character_templates(form, casing) + list(extra) + context_templates()
+    parts = basic_templates(form, lower) + character_templates(form, casing) + list(extra) + context_templates()
     if pos is not None:
-        head.append(pos)
-    tail = list(lexicon)
-    if embedding is None:
-        features = strings(*head, *tail)
-    else:
-        parts = [strings(*head), embedding] + ([strings(*tail)] if tail else [])
-        features = F.concat(*parts)
+        parts.append(pos)
+    if embedding is not None:
+        parts.append(embedding)
+    features = F.split(F.concat_ws("\t", *parts, *lexicon), "\t")
     return rows.withColumn("features", features).select(*TOKEN_FEATURES)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions import text as tx
+from tagloom.functions.arrays import strings
 from tagloom.functions.scale import scratch_dir, settle
 from tagloom.operators import crf, enrich, evaluate as ev, features as ft, naive_bayes as nb
 from tagloom.operators import spans as sp
@@ -361,7 +362,7 @@ def e6_assemble(s, d):
 def _character_rows(s, d) -> DataFrame:
     """Training rows with the scalar templates only."""
     rows = _rows(s, d)
-    feats = ft.strings(
+    feats = strings(
         *ft.basic_templates(F.col("form"), F.col("lower")), *ft.character_templates(F.col("form"), F.col("casing"))
     )
     return rows.select("tag", feats.alias("features"))
@@ -436,7 +437,7 @@ def _chain_rows(s, d, clustered: bool = False) -> DataFrame:
     rows = _rows(s, d, clustered)
     return rows.select(
         "sid", "tok_ix", "form", "start", "end", "tag",
-        ft.strings(ft.keyed("suf3", tx.suffix(F.col("form"), 3)), ft.keyed("casing", F.col("casing"))).alias("features"),
+        strings(ft.keyed("suf3", tx.suffix(F.col("form"), 3)), ft.keyed("casing", F.col("casing"))).alias("features"),
     )
 
 
@@ -507,7 +508,7 @@ def i5_evaluate_relations(s, d):
 
 def i6_ablation(s, d):
     rows = settle(_basic(s, d))
-    return _rounded(runs.ablation(rows, rows, _gold(s, d)))
+    return _rounded(runs.ablation(rows, rows, settle(_gold(s, d))))
 
 
 def i7_error_analysis(s, d):

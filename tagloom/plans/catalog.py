@@ -408,7 +408,7 @@ def f4_fit_naive_bayes(s, d):
 
 def _nb_labels(s, d) -> DataFrame:
     rows = _basic(s, d, True)
-    return nb.predict_naive_bayes(_nb_model(s, d), rows)
+    return nb.predict_naive_bayes(nb.fit_naive_bayes(rows.select("tag", "features")), rows)
 
 
 def f5_predict_naive_bayes(s, d):

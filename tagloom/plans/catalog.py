@@ -50,13 +50,8 @@ def _annotated_xml(s: SparkSession, d: str) -> DataFrame:
 
 def _gold(s: SparkSession, d: str) -> DataFrame:
     """Gold spans as entities whose text is their tokens joined by spaces, the key predictions carry."""
-    tags = views.located(s, d)
-    spans = views.gold_spans(s, d).select("sid", "start", "end", "type", "own_end", "next_start")
-    both = spans.join(tags.select("sid", "text"), "sid")
-    own = F.substring("text", F.col("start") + 1, F.col("own_end") - F.col("start") + 1)
-    after = F.substring("text", F.col("next_start") + 1, F.col("end") - F.col("next_start") + 1)
-    return both.select(
-        "sid", "start", "end", F.concat_ws("-", "start", "end").alias("offset"), F.concat_ws(" ", own, after).alias("text"), "type"
+    return views.gold_spans(s, d).select(
+        "sid", "start", "end", F.concat_ws("-", "start", "end").alias("offset"), "text", "type"
     )
 
 

@@ -57,7 +57,7 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V4 ``sid, ent_ix, start, end, type`` plus the end of the token itself and its follower.
+    """V4 ``sid, ent_ix, start, end, type``, the token's own end, its follower's start and the joined forms.
 
     A lexicon word opens a span that takes in the next token when that begins with a letter.
     """
@@ -66,7 +66,7 @@ def gold_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda ts: F.transform(
             ts,
             lambda t, i: F.struct(
-                i.alias("ent_ix"), F.lower(t.form).alias("term"), t.start.alias("start"), t.end.alias("own_end"),
+                i.alias("ent_ix"), t.form.alias("form"), F.lower(t.form).alias("term"), t.start.alias("start"), t.end.alias("own_end"),
                 F.get(ts, i + 1).alias("after"),
             ),
         ),
@@ -77,6 +77,7 @@ def gold_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select(
         "sid", "ent_ix", "start", F.when(joined, F.col("after.end")).otherwise(F.col("own_end")).alias("end"), "type",
         "own_end", F.when(joined, F.col("after.start")).alias("next_start"),
+        F.concat_ws(" ", "form", F.when(joined, F.col("after.form"))).alias("text"),
     )
 
 

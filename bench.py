@@ -12,8 +12,8 @@ from tagloom.plans import catalog
 
 HEADLINE = [
     "b1_tokenize", "b2_align_offsets", "b2_align_offsets_treebank", "b3_bio_tag", "c5_casing", "d1_previous",
-    "d4_next2", "e1_fuzzy_lexicon", "e2_exact_lexicon", "e4_embedding_bins", "e6_assemble", "f4_fit_naive_bayes",
-    "f5_predict_naive_bayes", "g5_decode_crf", "h1_bio_decode", "i2_statistics", "i7_error_analysis", "j1_extract_features",
+    "d4_next2", "e1_fuzzy_lexicon", "e2_exact_lexicon", "e6_assemble", "f4_fit_naive_bayes",
+    "h1_bio_decode", "i2_statistics", "i7_error_analysis",
 ]
 
 

@@ -2,8 +2,9 @@
 
 Every byte that lies in a string of WINDOW bytes which also starts anywhere else in the corpus is removed.
 
-1. Windows are dealt by content. The least hash among the GRAM-byte strings inside a window is its key, so equal windows have
-   equal keys wherever they stand. Neighbouring windows of one key form a segment; a hash of its bytes names it.
+1. Windows are dealt by content. The GRAM-byte string of least hash inside a window (the first of equals) is its anchor and
+   gives its key, so equal windows have equal keys wherever they stand. Neighbouring windows of one anchor form a segment; a
+   hash of its bytes names it. No window stands twice in a segment.
 2. Keys that stand once in the corpus cannot repeat and are left out. Of the others, each distinct segment is fetched once and
    goes to the task of its key, with the number of its copies. Keys with very many segments are split by a second key of
    the same kind.
@@ -36,8 +37,6 @@ from tagloom.llm.common import _BYTE, flat, mix, pieces
 
 WINDOW = 200
 GRAM = 32
-#: Windows of one segment at most.
-LONGEST = 1024
 #: Bytes of one run-length index.
 INDEX_BYTES = 2 << 20
 #: Keys with more occurrences are split by a second key.
@@ -74,23 +73,24 @@ def segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     none = np.zeros(0, np.int64)
     if len(data) < WINDOW:
         return none.astype(np.uint64), none, none, none
-    keys = least_inside(mix(gram_hashes(data)), WINDOW - GRAM + 1)
+    order = mix(gram_hashes(data))
+    where = np.arange(len(order), dtype=np.uint64)  # the first of equal ones is taken: half of the bits are the place
+    where |= order & np.uint64(0xFFFFFFFF00000000)
+    anchor = (least_inside(where, WINDOW - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     size = np.diff(ends)
     inside = np.zeros(len(data) + 1, np.int8)
     long = size >= WINDOW
     np.add.at(inside, ends[:-1][long], 1)
     np.add.at(inside, ends[1:][long] - WINDOW + 1, -1)
-    at = np.flatnonzero(np.cumsum(inside)[: len(keys)])
+    at = np.flatnonzero(np.cumsum(inside)[: len(anchor)])
     if not len(at):
         return none.astype(np.uint64), none, none, none
     new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) != 1) | (keys[at[1:]] != keys[at[1:] - 1])
+    new[1:] = (np.diff(at) != 1) | (anchor[at[1:]] != anchor[at[1:] - 1])
     first = np.flatnonzero(new)
-    since = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-    first = np.flatnonzero(since % LONGEST == 0)
     start, count = at[first], np.diff(np.append(first, len(at)))
     text = np.searchsorted(ends, start, side="right") - 1
-    return keys[start], text, start - ends[text], count
+    return order[anchor[start]], text, start - ends[text], count
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

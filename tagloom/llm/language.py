@@ -10,7 +10,7 @@ null language are not learned from. Ties go to the smaller language name. Repeat
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -84,8 +84,8 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     return langs, np.log(table / table.sum(axis=0)).astype(np.float32), prior
 
 
-def predict(documents: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
-    """documents with lang_pred and score; the columns doc_id and text are read and doc_id is kept."""
+def predict(documents: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of documents with lang_pred and score, which those must not hold; only text is looked at."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,12 +105,12 @@ def predict(documents: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray
             best = odds.argmax(axis=1)
             score = np.where(known, odds[np.arange(n), best] / odds.sum(axis=1), 0.0)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "lang_pred": pa.array([langs[k] if ok else "und" for k, ok in zip(best, known, strict=True)], pa.string()),
+                **{c: batch.column(c) for c in keep}, "lang_pred": pa.array([langs[k] if ok else "und" for k, ok in zip(best, known, strict=True)], pa.string()),
                 "score": pa.array(score, pa.float64()),
             })
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    schema = documents.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    return documents.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
 def learned(documents: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +108,14 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts are compressed before they are shuffled to their marks."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in pieces(batches):
+        body = pa.array([pack(t.as_py().encode()) for t in batch.column("text")], pa.binary())
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "packed": body})
+
+
 def _second_keys(raw: bytes, key: int, n: int) -> list[tuple[int, int, int]]:
     """Split a segment by the least other gram under another order: (key, first window, windows)."""
     grams = gram_hashes(np.frombuffer(raw, np.uint8))
@@ -119,10 +128,11 @@ def _second_keys(raw: bytes, key: int, n: int) -> list[tuple[int, int, int]]:
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in pieces(batches, "packed"):
         rows = []
-        for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist(), strict=True):
-            raw = text.as_py().encode()
+        for packed, wanted in zip(batch.column("packed"), batch.column("wanted").to_pylist(), strict=True):
+            raw = unpack(packed.as_py())
             for w in wanted:
                 own = raw[w["start"] : w["start"] + w["n"] + WINDOW - 1]
                 for deal, at, n in _second_keys(own, w["key"], w["n"]) if w["hot"] else [(w["key"], 0, w["n"])]:
@@ -266,10 +276,11 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in pieces(batches, "packed"):
         spans, kept, sizes = [], [], []
-        for text, marks in zip(batch.column("text"), batch.column("marks").to_pylist(), strict=True):
-            raw, merged = text.as_py().encode(), []
+        for packed, marks in zip(batch.column("packed"), batch.column("marks").to_pylist(), strict=True):
+            raw, merged = unpack(packed.as_py()), []
             for m in sorted((m["a"], m["b"]) for m in marks or []):
                 if merged and m[0] <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], m[1])
@@ -301,7 +312,8 @@ def remove_repeats(documents: DataFrame, hot: int = HOT) -> DataFrame:
         F.collect_list(F.struct("key", "name", "copies", "hot", "one.start", "one.n")).alias("wanted")
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    source = rows.join(wanted, same).select("text", "wanted")
+    packed = rows.mapInArrow(_packed, f"doc_id {kind}, text_hash int, packed binary")
+    source = packed.join(wanted, same).select("packed", "wanted")
     bodies = source.mapInArrow(_fetched, "deal bigint, key bigint, name bigint, copies bigint, at int, body binary")
     dealt = bodies.repartition("deal").sortWithinPartitions("deal", "key", "name", "at")
     marks = settle(dealt.mapInArrow(_marked, "key bigint, name bigint, marks array<struct<a:int,b:int>>"))
@@ -310,7 +322,7 @@ def remove_repeats(documents: DataFrame, hot: int = HOT) -> DataFrame:
         F.explode(F.transform("marks", lambda m: F.struct((m["a"] + F.col("start")).alias("a"), (m["b"] + F.col("start")).alias("b")))).alias("mark"),
     )
     per_document = found.groupBy("_id", "_hash").agg(F.collect_list("mark").alias("marks"))
-    return rows.join(per_document, same, "left").select("doc_id", "text", "marks").mapInArrow(
+    return packed.join(per_document, same, "left").select("doc_id", "packed", "marks").mapInArrow(
         _cut, f"doc_id {kind}, n_bytes bigint, spans array<struct<a:int,b:int>>, kept binary"
     )
 

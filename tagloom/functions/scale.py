@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -12,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 16
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -64,29 +61,60 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows to a lookup table, whatever the row counts per key.
 
-    A table whose measured size is within ``limit`` is broadcast and the rows do not move. Beyond it,
-    rows are salted by a hash of their identity and the table is repeated once per salt, so one key
-    with a third of all rows is still shared by many tasks.
+    The table is written once, then measured. Within ``limit`` it is broadcast and the rows do not move. Beyond it,
+    both sides are shuffled; keys that hold more than a task's share of the rows are counted first, their rows are
+    salted by a hash of their identity and only their table rows are repeated.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    table = settle(table)
     if fits_broadcast(table, limit):
         return rows.join(F.broadcast(table), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*row_id), F.lit(SALTS)).cast("int"))
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    heavy = heavy_keys(rows, keys)
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = rows.join(heavy, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*row_id), salts).cast("int")).drop("_salts")
+    repeated = table.join(heavy, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def heavy_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with more rows than a shuffle partition's even share, with the number ``_salts`` of parts to split them into.
+
+    There are fewer of them than partitions, so the result is broadcast.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = settle(rows.groupBy(*keys).agg(F.count("*").alias("_n")))
+    share = max(1, (counts.agg(F.sum("_n")).first()[0] or 0) // parts)
+    return F.broadcast(counts.filter(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts")))
+
+
+_roots: dict[tuple[str, str], str] = {}
+
+
+def _scratch_root(spark: SparkSession, shared: str) -> str:
+    """A folder for one application, which the JVM removes when it ends."""
+    context = spark.sparkContext
+    key = (context.applicationId, shared)
+    if key not in _roots:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/tagloom-{key[0]}-{uuid.uuid4().hex}")
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _roots[key] = folder.toString()
+    return _roots[key]
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder under the cluster's shared ``spark.checkpoint.dir``, gone when the application ends.
 
-    Only a local session, where driver and tasks share one machine, may fall back to a temporary folder.
+    The setting is required. Only a local session, where driver and tasks are one process, may leave it out; it then gets the
+    JVM's own temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tagloom-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return os.path.join(tempfile.mkdtemp(prefix="tagloom-"), "scratch")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        shared = spark.sparkContext._jvm.System.getProperty("java.io.tmpdir")
+    return f"{_scratch_root(spark, shared)}/{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

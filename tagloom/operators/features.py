@@ -23,7 +23,7 @@ NEIGHBOURS = ("prev2", "prev", "next", "next2")
 GROUPS = {
     "lexicon": [
         "fuzzyApprovedDrugsLexicon", "fuzzyNotApprovedDrugsLexicon",
-        "inDrugLexicon", "inBrandList", "inGroupList", "inDrugNList", "inLexicon",
+        "inDrugLexicon", "inBrandList", "inGroupList", "inLexicon",
     ],
     "context": [
         "formPrev", "formLowerPrev", "casingPrev", "bigram", "formPrev2", "trigram",

@@ -11,13 +11,12 @@ from tagloom.functions.text import BLANK, strip
 VECTORS = "word string, vec array<double>"
 
 
-def read_embeddings(spark: SparkSession, path: str, dim: int = 50, max_vocab: int = 50000) -> DataFrame:
-    """``word, vec`` from the first ``max_vocab`` lines ``word v1 v2 ...``.
+def read_embeddings(spark: SparkSession, path: str, dim: int = 50, max_vocab: int | None = None) -> DataFrame:
+    """``word, vec`` from lines ``word v1 v2 ...``: all, or the first ``max_vocab`` (usual value: 50,000).
 
     Lines are counted before any are skipped. A line with too few fields or a bad number is skipped;
     of lines with the same word the last one counts. A missing path gives an empty table.
-    File, split start and position within the split order the lines without an index pass; taking the
-    first ``max_vocab`` of that order keeps at most ``max_vocab`` lines per task.
+    File, split start and position within the split order the lines without an index pass.
     """
     try:
         lines = spark.read.text(path).select(
@@ -30,7 +29,7 @@ def read_embeddings(spark: SparkSession, path: str, dim: int = 50, max_vocab: in
         )
     except AnalysisException:
         return spark.createDataFrame([], VECTORS)
-    first = lines.orderBy("at").limit(max_vocab)
+    first = lines if max_vocab is None else lines.orderBy("at").limit(max_vocab)
     fields = first.select("at", F.split(strip(F.col("value")), f"[{BLANK}]+").alias("f")).filter(F.size("f") > dim)
     numbers = F.transform(F.slice("f", 2, dim), lambda x: x.try_cast("double"))
     return (

@@ -122,3 +122,21 @@ def settle(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def number_rows(table: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """``column, id`` with ids 0..n-1 in the order of ``column``, and n.
+
+    The rows are written first, so that every later read numbers the same rows the same way; only the
+    row count per partition comes to the driver.
+    """
+    kept = settle(table.select(column).orderBy(column))
+    placed = kept.select(column, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = placed.groupBy("_file").agg(F.count("*").alias("n")).orderBy("_file").collect()
+    starts, total = [], 0
+    for r in counts:
+        starts.append((r["_file"], total))
+        total += r["n"]
+    # one row per file, which are named in the order of their partitions
+    offsets = F.broadcast(table.sparkSession.createDataFrame(starts, "_file string, _first long"))
+    return settle(placed.join(offsets, "_file").select(column, (F.col("_first") + F.col("_row")).alias("id"))), total

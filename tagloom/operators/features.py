@@ -183,9 +183,3 @@ def assemble_features(
 def feature_key(feature: Column) -> Column:
     """The part before the first ``=`` (the whole feature when there is none)."""
     return F.substring_index(feature, "=", 1)
-
-
-def without_groups(features: Column, groups: Iterable[str]) -> Column:
-    """Drop every feature whose key belongs to one of the named groups."""
-    keys = [k for g in groups for k in GROUPS[g]]
-    return F.filter(features, lambda f: ~feature_key(f).isin(keys)) if keys else features

@@ -18,7 +18,8 @@ from tagloom.streaming import score as stream
 SPAN_KEY = ("sid", "start", "end", "text")
 CHEMICAL = ("^[a-z]+(?:ine|ion|ol)$", r"^\d+[A-Za-z]")
 AFFIXES = ("anti-", "-ing", "-tion")
-CRF_KEYS = ("suf3", "casing")
+#: Labelled sentences the registered CRF runs are fitted on, about.
+CRF_FIT_ROWS = 1000
 
 
 # ---------------------------------------------------------------- shared parts
@@ -151,6 +152,16 @@ def a11_model_round_trip(s, d):
     )
 
 
+def a11_crf_round_trip(s, d):
+    path = scratch_dir(s)
+    models.save_model(_counted_chain(s, d), path)
+    loaded = models.load_model(s, path)
+    rows = loaded.tables["attribute_weights"].select(F.col("attribute").alias("from"), F.col("label").alias("to"), "weight").unionAll(
+        loaded.tables["transitions"].select("label_from", "label_to", "weight")
+    )
+    return rows.select("from", "to", F.round("weight", 6).alias("weight"), F.lit(loaded.kind).alias("kind"))
+
+
 def a12_lexicon_from_drugbank(s, d):
     parts = views.table(s, d, "part").join(
         views.table(s, d, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
@@ -305,22 +316,22 @@ def d5_boundaries(s, d):
 
 
 def e1_fuzzy_lexicon(s, d):
-    flagged = enrich.fuzzy_lexicon_join(views.tokens(s, d), views.lexicon(s, d).select("term"), "similar")
+    flagged = enrich.fuzzy_lexicon_join(views.tokens(s, d), views.vocabulary(s, d).select("term"), "similar")
     return flagged.groupBy(F.lower("form").alias("word"), "similar").agg(F.count("*").alias("n"))
 
 
 def e2_exact_lexicon(s, d):
-    flagged = enrich.exact_lexicon_flags(views.tokens(s, d), views.lexicon(s, d), _names(s, d))
+    flagged = enrich.exact_lexicon_flags(views.tokens(s, d), views.vocabulary(s, d), _names(s, d))
     names = ["in_drug_lexicon", "in_brand_list", "in_group_list", "in_lexicon"]
     return flagged.groupBy(F.lower("form").alias("word"), *names).agg(F.count("*").alias("n"))
 
 
 def _names(s, d) -> DataFrame:
-    """An external list: the words of the questions and answers in the conversations' first turns."""
+    """An external list: the words of the conversations."""
     words = views.table(s, d, "conversations").select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("term")
     )
-    return words.filter(F.length("term") >= 12).distinct()
+    return words.distinct()
 
 
 def _tag_table(s, d) -> DataFrame:
@@ -428,16 +439,18 @@ def g3_sequence_weights(s, d):
 
 
 def _chain_rows(s, d, clustered: bool = False) -> DataFrame:
-    """Tokens with the two templates the registered CRF queries use."""
-    rows = _rows(s, d, clustered)
-    return rows.select(
-        "sid", "tok_ix", "form", "start", "end", "tag",
-        strings(ft.keyed("suf3", tx.suffix(F.col("form"), 3)), ft.keyed("casing", F.col("casing"))).alias("features"),
-    )
+    """Tokens with all basic, character and context templates."""
+    return _basic(s, d, clustered).select("sid", "tok_ix", "form", "start", "end", "tag", "features")
+
+
+def g4_crf_gradient(s, d):
+    """Loss and gradient before the first step, which have a closed form."""
+    found = crf.gradient_at_zero(crf.to_sequences(_chain_rows(s, d, True)))
+    return found.select("kind", "from", "to", F.round("g", 3).alias("g"))
 
 
 def g4_fit_crf(s, d):
-    model = crf.fit_crf(crf.to_sequences(_chain_rows(s, d, True)), max_iter=10)
+    model = crf.fit_crf(crf.to_sequences(_chain_rows(s, d, True)), fit_rows=CRF_FIT_ROWS)
     attrs = model.tables["attribute_weights"].select(
         F.col("attribute").alias("from"), F.col("label").alias("to"), F.round("weight", 3).alias("weight")
     )
@@ -447,7 +460,7 @@ def g4_fit_crf(s, d):
 
 def _counted_chain(s, d) -> models.Model:
     """A chain model whose weights are log counts, so that SQL can restate it."""
-    rows = _chain_rows(s, d)
+    rows = settle(_chain_rows(s, d))
     attrs = rows.select("tag", F.explode("features").alias("attribute")).groupBy("attribute", F.col("tag").alias("label")).agg(
         F.count("*").alias("n")
     ).withColumn("weight", F.log(F.col("n") + 1.0))
@@ -502,7 +515,7 @@ def i5_evaluate_relations(s, d):
 
 
 def i6_ablation(s, d):
-    rows = settle(_basic(s, d))
+    rows = settle(runs.extract_features(views.with_spans(s, d), runs.Resources(**_lists(s, d))))
     return _rounded(runs.ablation(rows, rows, settle(_gold(s, d))))
 
 
@@ -514,11 +527,12 @@ def i7_error_analysis(s, d):
 
 
 def _resources(s, d) -> runs.Resources:
-    terms = views.lexicon(s, d)
-    return runs.Resources(
-        approved=terms.filter("type <> 'drug_n'").select("term"), not_approved=terms.filter("type = 'drug_n'").select("term"),
-        tags=_tag_table(s, d), embeddings=views.term_vectors(s, d),
-    )
+    return runs.Resources(**_lists(s, d), tags=_tag_table(s, d), embeddings=views.term_vectors(s, d))
+
+
+def _lists(s, d) -> dict[str, DataFrame]:
+    terms = views.vocabulary(s, d)
+    return {"approved": terms.filter("type <> 'drug_n'").select("term"), "not_approved": terms.filter("type = 'drug_n'").select("term")}
 
 
 def j1_extract_features(s, d):
@@ -526,10 +540,34 @@ def j1_extract_features(s, d):
     return rows.select("sid", "tok_ix", "tag", F.size("features").alias("n"), _digest(F.col("features")).alias("digest"))
 
 
+def _in_train(sid: str = "sid") -> F.Column:
+    """Each sentence is in one of two halves, by a digest of its id."""
+    return F.md5(F.col(sid).cast("binary")) < "8"
+
+
 def j2_train_and_score(s, d):
     rows = settle(_basic(s, d, True))
-    model = nb.fit_naive_bayes(rows.select("tag", "features"))
-    return _rounded(ev.evaluate("NER", _gold(s, d), runs.entities_of(runs.label_tokens(model, rows))))
+    model = nb.fit_naive_bayes(rows.filter(_in_train()).select("tag", "features"))
+    labels = runs.label_tokens(model, rows.filter(~_in_train()))
+    return _rounded(ev.evaluate("NER", _gold(s, d).filter(~_in_train()), runs.entities_of(labels)))
+
+
+def j2_train_and_score_both(s, d):
+    """Both taggers over one half, scored on it and on the other."""
+    rows = settle(views.with_spans(s, d))
+    entities = F.transform("spans", lambda x: F.struct(
+        F.concat_ws(".", "sid", x.start).alias("id"), F.concat_ws("-", x.start, x.end).alias("offset"), x.type.alias("type"),
+        F.array_join(F.transform(F.filter("tokens", lambda t: (t.start >= x.start) & (t.end <= x.end)), lambda t: t.form), " ").alias("text"),
+    ))
+    rows = settle(rows.select("sid", "text", entities.alias("entities")))
+    stats = runs.train_and_score(
+        rows.filter(_in_train()), rows.filter(~_in_train()), runs.Resources(**_lists(s, d)), mode="simple", fit_rows=CRF_FIT_ROWS
+    )
+    out = None
+    for name, table in stats.items():
+        one = _rounded(table).withColumn("run", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def j3_score_stream(s, d):

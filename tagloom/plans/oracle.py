@@ -20,10 +20,10 @@ SELECT sid, (row_number() OVER (PARTITION BY sid ORDER BY k) - 1)::INTEGER AS to
        (e - length(form))::INTEGER AS start, (e - 1)::INTEGER AS "end"
 FROM (SELECT sid, k, form, sum(length(form)) OVER (PARTITION BY sid ORDER BY k) AS e FROM piece)
 WHERE NOT regexp_full_match(form, '\s+')""",
-    "lex": r"""
+    "voc": r"""
 SELECT term, (['drug', 'brand', 'group', 'drug_n'])[length(term) % 4 + 1] AS type FROM (
-  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM benchmark)
-WHERE length(term) >= 8""",
+  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM benchmark)""",
+    "lex": "SELECT * FROM voc WHERE length(term) >= 8",
     "ahead": r"""
 SELECT *, lead(form) OVER w AS nform, lead(start) OVER w AS nstart, lead("end") OVER w AS nend
 FROM tok WINDOW w AS (PARTITION BY sid ORDER BY tok_ix)""",
@@ -67,8 +67,7 @@ FROM shaped WINDOW w AS (PARTITION BY sid ORDER BY tok_ix)""",
     "goldkey": r"""SELECT DISTINCT sid, start, "end", start || '-' || "end" AS "offset", joined AS text, type FROM gold""",
     "stat_guess": "@stats(goldkey, decoded)",
     "extern": r"""
-SELECT DISTINCT term FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM conversations)
-WHERE length(term) >= 12""",
+SELECT DISTINCT term FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM conversations)""",
     "tags": r"""
 SELECT form, lang AS pos FROM (
   SELECT form, lang, row_number() OVER (PARTITION BY form ORDER BY n DESC, lang) AS r FROM (
@@ -76,7 +75,7 @@ SELECT form, lang AS pos FROM (
       SELECT lang, unnest(regexp_extract_all(text, '\p{L}+')) AS form FROM documents) GROUP BY ALL)) WHERE r = 1""",
     "vec": r"""
 SELECT term AS word, e.embedding::DOUBLE[] AS vec
-FROM (SELECT term, row_number() OVER (ORDER BY term) - 1 AS r FROM lex) x JOIN embeddings e ON e.vec_id = x.r""",
+FROM (SELECT term, row_number() OVER (ORDER BY term) - 1 AS r FROM voc) x JOIN embeddings e ON e.vec_id = x.r""",
 }
 
 CONTEXT = [
@@ -137,9 +136,7 @@ def _list(parts: list[str]) -> str:
 
 VIEWS["feats"] = f'SELECT sid, tok_ix, form, start, "end", tag, {_list(ALL)} AS f FROM around'
 VIEWS["charfeats"] = f"SELECT sid, tok_ix, tag, {_list(BASIC + CHARACTER)} AS f FROM shaped"
-VIEWS["chain"] = (
-    f"SELECT sid, tok_ix, tag, {_list([chr(39) + 'suf3=' + chr(39) + ' || ' + _affix('suf', 3), chr(39) + 'casing=' + chr(39) + ' || casing'])} AS f FROM shaped"
-)
+VIEWS["chain"] = "SELECT sid, tok_ix, tag, f FROM feats"
 
 
 def _rewritten(f: str) -> str:
@@ -166,14 +163,14 @@ VIEWS["predf"] = _one_hot("feats", "predict")
 VIEWS["chartrainf"] = _one_hot("charfeats", "train")
 
 
-def _nb(source: str, p: str) -> dict[str, str]:
+def _nb(source: str, p: str, tags: str = "tagged") -> dict[str, str]:
     return {
         f"{p}cnt": f"SELECT tag, key, key || '=' || value AS feature, count(*) AS n FROM {source} GROUP BY ALL",
         f"{p}v": f"SELECT count(DISTINCT feature) AS v FROM {p}cnt",
         f"{p}den": f"SELECT tag, ln(sum(n) + 0.01 * any_value(v)) AS denom FROM {p}cnt, {p}v GROUP BY tag",
         f"{p}logp": f"SELECT feature, key, tag, n, ln(n + 0.01) - denom AS logp FROM {p}cnt JOIN {p}den USING (tag)",
         f"{p}default": f"SELECT tag, ln(0.01) - denom AS logp FROM {p}den",
-        f"{p}prior": "SELECT tag, ln(count(*)) - ln(sum(count(*)) OVER ()) AS logp FROM tagged GROUP BY tag",
+        f"{p}prior": f"SELECT tag, ln(count(*)) - ln(sum(count(*)) OVER ()) AS logp FROM {tags} GROUP BY tag",
     }
 
 
@@ -198,6 +195,13 @@ SELECT sid, tok_ix, tag AS label, score FROM (
 
 
 VIEWS["nbpred"] = _predict("predf", "nb")
+VIEWS["halftagged"] = "SELECT * FROM tagged WHERE md5(sid) < '8'"
+VIEWS["halftrainf"] = "SELECT * FROM trainf WHERE md5(sid) < '8'"
+VIEWS["halfpredf"] = "SELECT * FROM predf WHERE md5(sid) >= '8'"
+VIEWS.update(_nb("halftrainf", "hf", "halftagged"))
+VIEWS["hfpred"] = _predict("halfpredf", "hf")
+VIEWS["hflabel"] = "SELECT t.*, p.label FROM tok t JOIN hfpred p USING (sid, tok_ix) WHERE md5(t.sid) >= '8'"
+VIEWS["halfgold"] = "SELECT * FROM goldkey WHERE md5(sid) >= '8'"
 VIEWS["nblabel"] = 'SELECT t.*, p.label FROM tok t JOIN nbpred p USING (sid, tok_ix)'
 
 
@@ -216,6 +220,7 @@ WHERE label <> 'O' {keep} GROUP BY sid, grp HAVING arg_min(label, tok_ix) LIKE '
 VIEWS["decoded"] = _decode("guess")
 VIEWS["decoded_all"] = _decode("guess", drop=False)
 VIEWS["nbdecoded"] = _decode("nblabel")
+VIEWS["hfdecoded"] = _decode("hflabel")
 
 
 def _sets(view: str, key: str) -> str:
@@ -258,18 +263,18 @@ LCS = """list_last(list_reduce(string_split({a}, ''), lambda row, ch:
     CASE WHEN substr({b}, j, 1) = ch THEN row[j] + 1 ELSE greatest(row[j + 1], cur[j]) END), [0::BIGINT]), {zeros}))"""
 
 
-def _similar(terms: str) -> str:
-    return f"""
-SELECT DISTINCT word FROM (
-  SELECT w.word, l.term FROM words w JOIN ({terms}) l
-  ON 100 * abs(length(w.word) - length(l.term)) <= 15 * (length(w.word) + length(l.term))
-  AND 100 * levenshtein(@bytes(w.word), @bytes(l.term)) <= 15 * (length(w.word) + length(l.term)))
-WHERE 200 * @lcs(word, term) >= 85 * (length(word) + length(term))"""
-
-
-VIEWS["alike"] = _similar("SELECT term FROM lex")
-VIEWS["sim_approved"] = _similar("SELECT term FROM lex WHERE type <> 'drug_n'")
-VIEWS["sim_other"] = _similar("SELECT term FROM lex WHERE type = 'drug_n'")
+# the byte form is made once per word, and words meet terms of one length class at a time
+VIEWS["sized"] = """
+SELECT word, length(word) AS la, @bytes(word) AS wb,
+  unnest(range(ceil(length(word) * 85 / 115)::BIGINT, floor(length(word) * 115 / 85)::BIGINT + 1)) AS lb FROM words"""
+VIEWS["terms"] = "SELECT term, type, length(term) AS lb, @bytes(term) AS tb FROM voc"
+VIEWS["near"] = """
+SELECT word, term, type FROM (
+  SELECT word, term, type, la, w.lb FROM sized w JOIN terms t ON w.lb = t.lb WHERE 100 * levenshtein(wb, tb) <= 15 * (la + w.lb))
+WHERE word = term OR 200 * @lcs(word, term) >= 85 * (la + lb)"""
+VIEWS["alike"] = "SELECT DISTINCT word FROM near"
+VIEWS["sim_approved"] = "SELECT DISTINCT word FROM near WHERE type <> 'drug_n'"
+VIEWS["sim_other"] = "SELECT DISTINCT word FROM near WHERE type = 'drug_n'"
 
 BINS = "list_transform(range(50), lambda i: 'emb_' || i || '=' || greatest(0, least(4, floor((vec[i + 1] + 1.0) * 2.5)))::INTEGER)"
 VIEWS["bins"] = f"SELECT word, {BINS} AS b FROM vec"
@@ -293,6 +298,15 @@ VIEWS["plpred"] = _predict("plpredf", "pl")
 VIEWS["pllabel"] = 'SELECT t.*, p.label FROM tok t JOIN plpred p USING (sid, tok_ix)'
 VIEWS["pldecoded"] = _decode("pllabel")
 
+# features with the two term lists
+VIEWS["listed"] = (
+    "SELECT p.sid, p.tok_ix, p.tag, list_concat(p.f, list_filter([CASE WHEN s1.word IS NOT NULL THEN 'fuzzyApprovedDrugsLexicon=true' END, "
+    "CASE WHEN s2.word IS NOT NULL THEN 'fuzzyNotApprovedDrugsLexicon=true' END], lambda f: f IS NOT NULL)) AS f "
+    "FROM plain p JOIN shaped a USING (sid, tok_ix) LEFT JOIN sim_approved s1 ON a.low = s1.word LEFT JOIN sim_other s2 ON a.low = s2.word"
+)
+VIEWS["lxtrainf"] = _one_hot("listed", "train")
+VIEWS["lxpredf"] = _one_hot("listed", "predict")
+
 # ablations: the feature view without a group's keys
 GROUPS = {
     "all": [],
@@ -309,8 +323,8 @@ GROUPS = {
 for _name, _keys in GROUPS.items():
     _no = f" WHERE key NOT IN ({', '.join(repr(k) for k in _keys)})" if _keys else ""
     _p = f"ab_{_name}_"
-    VIEWS[f"{_p}f"] = f"SELECT * FROM trainf{_no}"
-    VIEWS[f"{_p}q"] = f"SELECT * FROM predf{_no}"
+    VIEWS[f"{_p}f"] = f"SELECT * FROM lxtrainf{_no}"
+    VIEWS[f"{_p}q"] = f"SELECT * FROM lxpredf{_no}"
     VIEWS.update(_nb(f"{_p}f", _p))
     VIEWS[f"{_p}pred"] = _predict(f"{_p}q", _p)
     VIEWS[f"{_p}label"] = f"SELECT t.*, p.label FROM tok t JOIN {_p}pred p USING (sid, tok_ix)"
@@ -350,6 +364,7 @@ UNION ALL SELECT sid, ix, 1, nstart, "end", type FROM numbered WHERE nstart IS N
     "a9_classification_rows": "SELECT tag, md5(array_to_string(f, chr(9))) AS digest, count(*) AS n FROM feats GROUP BY ALL",
     "a10_predictions": 'SELECT DISTINCT sid, "offset", text, type FROM decoded',
     "a11_model_round_trip": "SELECT feature, tag, round(logp, 6) AS logp, 'naive_bayes' AS kind FROM chlogp",
+    "a11_crf_round_trip": "SELECT feature AS \"from\", label AS \"to\", round(weight, 6) AS weight, 'crf' AS kind FROM chw UNION ALL SELECT a, b, round(weight, 6), 'crf' FROM step",
     "a12_lexicon_from_drugbank": """
 SELECT DISTINCT term FROM (
   SELECT p_name || ' ' || p_brand AS term FROM part WHERE p_size > 25 UNION
@@ -392,7 +407,7 @@ SELECT form, n, CASE WHEN regexp_matches(form, '(?:^[a-z]+(?:ine|ion|ol)$)|(?:^\
     "e2_exact_lexicon": """
 SELECT word, l.term IS NOT NULL AS in_drug_lexicon, coalesce(l.type = 'brand', false) AS in_brand_list,
   coalesce(l.type = 'group', false) AS in_group_list, l.term IS NOT NULL OR x.term IS NOT NULL AS in_lexicon, n
-FROM words w LEFT JOIN lex l ON w.word = l.term LEFT JOIN extern x ON w.word = x.term""",
+FROM words w LEFT JOIN voc l ON w.word = l.term LEFT JOIN extern x ON w.word = x.term""",
     "e3_pos": "SELECT f.form, coalesce(t.pos, 'UNK') AS pos, n FROM forms f LEFT JOIN tags t ON f.form = t.form",
     "e4_embedding_bins": "SELECT w.word, array_to_string(coalesce(b.b, ['emb_OOV=true']), ' ') AS bins, n FROM words w LEFT JOIN bins b ON w.word = b.word",
     "e5_embedding_truncated": """
@@ -410,6 +425,13 @@ UNION ALL SELECT tag, 'DEFAULT', 1, round(logp * 1000000)::BIGINT FROM nbdefault
     "g1_label_distribution": "SELECT label, cnt FROM dist",
     "g2_class_weights": "SELECT label, cnt, round(weight, 6) AS weight FROM weights",
     "g3_sequence_weights": "SELECT sid, round(coalesce(max(weight), 1.0), 6) AS weight FROM sent LEFT JOIN tagged USING (sid) LEFT JOIN weights ON tag = label GROUP BY sid",
+    "g4_crf_gradient": """
+SELECT 'attribute' AS kind, feature AS "from", tag AS "to", round(sum(count(*)) OVER (PARTITION BY feature) / k - count(*), 3) AS g
+FROM chlong, (SELECT count(*) AS k FROM labs) GROUP BY feature, tag, k
+UNION ALL SELECT 'transition', a, b, round(sum(count(*)) OVER () / (k * k) - count(*), 3) FROM (
+  SELECT tag AS a, lead(tag) OVER (PARTITION BY sid ORDER BY tok_ix) AS b FROM tagged), (SELECT count(*) AS k FROM labs)
+  WHERE b IS NOT NULL GROUP BY a, b, k
+UNION ALL SELECT 'loss', NULL, NULL, round(count(*) * ln(any_value(k)), 3) FROM tagged, (SELECT count(*) AS k FROM labs)""",
     "g5_decode_crf": """
 SELECT sid, (tok_ix + 1)::INTEGER AS n, round(best, 4) AS score FROM (
   SELECT sid, tok_ix, max(s) AS best, row_number() OVER (PARTITION BY sid ORDER BY tok_ix DESC) AS r FROM path GROUP BY sid, tok_ix) WHERE r = 1""",
@@ -432,7 +454,7 @@ SELECT outcome, gold_type, pred_type, count(*) AS n FROM (
   UNION ALL SELECT 'spurious', NULL, type FROM (SELECT DISTINCT sid, start, "end", type FROM decoded) q WHERE NOT EXISTS (
     SELECT 1 FROM overlap o WHERE o.sid = q.sid AND o.ps = q.start AND o.pe = q."end" AND o.pt = q.type)) GROUP BY ALL""",
     "j1_extract_features": "SELECT sid, tok_ix, tag, len(f)::INTEGER AS n, md5(array_to_string(f, chr(9))) AS digest FROM full_",
-    "j2_train_and_score": f"SELECT {STAT_COLUMNS} FROM (" + _stats("goldkey", "nbdecoded") + ")",
+    "j2_train_and_score": f"SELECT {STAT_COLUMNS} FROM (" + _stats("halfgold", "hfdecoded") + ")",
     "j3_score_stream": 'SELECT sid, start, "end", text, type FROM pldecoded',
 }
 VIEWS["full_"] = VIEWS.pop("full")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.arrays import let
-from tagloom.functions.scale import by_sentence, fits_broadcast, lookup_join, settle, spread  # noqa: F401
+from tagloom.functions.scale import by_sentence, fits_broadcast, lookup_join, number_rows, settle, spread  # noqa: F401
 from tagloom.operators.tokens import bio_tag, located_tokens
 
 SPANS = "array<struct<start:int,end:int,type:string>>"
@@ -48,12 +48,17 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3 ``term, type``: long words of the benchmark texts."""
+def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``term, type``: all words of the benchmark texts, the lists that tokens are looked up in."""
     words = table(spark, sf_dir, "benchmark").select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("term")
     )
-    return words.filter(F.length("term") >= MIN_TERM).distinct().select("term", pick(TYPES, F.length("term")).alias("type"))
+    return words.distinct().select("term", pick(TYPES, F.length("term")).alias("type"))
+
+
+def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3 ``term, type``: long words of the benchmark texts, which make the gold labels."""
+    return vocabulary(spark, sf_dir).filter(F.length("term") >= MIN_TERM)
 
 
 def gold_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,11 +168,7 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``word, vec``: the vector whose id is the term's rank in the sorted lexicon.
-
-    The rank is the number of smaller terms, counted over a lexicon whose size is checked.
-    """
-    terms = lexicon(spark, sf_dir).select("term")
-    ranked = terms.agg(F.sort_array(F.collect_set("term")).alias("t")).select(F.posexplode("t").alias("vec_id", "word"))
+    """``word, vec``: the vector whose id is the word's rank in the sorted vocabulary."""
+    ranked, _ = number_rows(vocabulary(spark, sf_dir).select("term"), "term")
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
-    return ranked.join(vectors, "vec_id").select("word", "vec")
+    return ranked.select(F.col("id").alias("vec_id"), F.col("term").alias("word")).join(vectors, "vec_id").select("word", "vec")

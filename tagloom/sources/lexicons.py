@@ -78,12 +78,3 @@ def lexicon_from_chembl(molecules: DataFrame, synonyms: DataFrame, indications:
 def lexicon_from_annotations(gold: DataFrame) -> DataFrame:
     """``type, term, n``: lower-cased entity names per type with their number of mentions."""
     return gold.groupBy("type", F.lower("text").alias("term")).agg(F.count("*").alias("n"))
-
-
-def union_lexicon(*lexicons: DataFrame) -> DataFrame:
-    """Distinct terms of several lists."""
-    terms = [lex.select("term") for lex in lexicons]
-    out = terms[0]
-    for other in terms[1:]:
-        out = out.unionByName(other)
-    return out.distinct()

@@ -2,8 +2,9 @@
 
 Normalised lines are exploded as two 64-bit hashes (with different seeds, together the identity of a line), counted once per
 document, and those of the threshold or more are dropped in every document; the rest is put together by position.
-Counting combines on the map side first, so a line that stands in a third of all documents is no hot key; in the join that
-finds its places Spark splits the skewed partition. What is collected for one document is its own line positions.
+Counting combines on the map side first, so a line that stands in a third of all documents is no hot key. The common lines are
+broadcast if they are few by measure; otherwise the lines meet them in a shuffle that salts the heavy ones. What is collected
+for one document is its own line positions.
 
 Each row counts as a document of its own. Null or empty text is one empty line; empty lines have no key and stay. A document
 whose lines all go keeps the empty text. Rows that agree in id and text get the same answer, null ids included. Only doc_id
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.scale import settle
+from tagloom.functions.scale import lookup_join, settle
 from tagloom.llm.common import LOWER, UPPER
 
 THRESHOLD = 10
@@ -45,7 +46,7 @@ def dropped_lines(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame
     common = once.groupBy("key.a", "key.b").agg(F.count("*").alias("n")).filter(F.col("n") >= threshold).drop("n")
     places = hashed.select("doc_id", "text_hash", F.posexplode("keys").alias("pos", "key")).filter("key IS NOT NULL")
     places = places.select("doc_id", "text_hash", "pos", "key.a", "key.b")
-    return places.join(common, ["a", "b"]).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
+    return lookup_join(places, common, ["a", "b"], ["doc_id", "pos"], "inner").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
 
 def without_lines(text: Column, dropped: Column) -> Column:

@@ -25,7 +25,7 @@ ENTROPY = 0.95
 REPEATS = 4.0
 STEP_BITS = 6
 ROUNDS = 5
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 SEED = "mix"
 
 

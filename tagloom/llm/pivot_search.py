@@ -2,8 +2,8 @@
 
 Every vector's distances to a fixed number of pivots are computed once and written as a table. For a query, the largest
 difference between its distance and a candidate's distance to any pivot is a lower bound of their distance, and with both
-lengths an upper bound of their inner product. Candidates are evaluated in the order of this bound, in growing groups, until
-the bound falls below the k-th best score so far; bounds carry some slack for rounding, scores are exact integers.
+lengths an upper bound of their inner product. In each block the candidates of the highest bounds are evaluated first, then all
+whose bound reaches the k-th best of those; the others cannot be among the k best and are never evaluated.
 
 Queries are a stated set: they go out in blocks of bounded size, each block meets every candidate partition once, and only
 the k best of each query and partition are shuffled.
@@ -16,7 +16,6 @@ that repeat an id are candidates each. Null ids take no part.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,10 @@ PIVOTS = 32
 PIVOT_SAMPLE = 1024
 QUERY_BLOCK = 4096
 CANDIDATE_BLOCK = 8192
-SLACK = 1e-3
+QUERIES_AT_ONCE = 64
+#: So many times k candidates are evaluated before the first mark is set.
+FIRST = 4
+SLACK = 1e-5
 
 
 def whole_components(vector: Column) -> Column:
@@ -77,26 +79,48 @@ def pivot_table(vectors: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
     return vectors.mapInArrow(run, "vec_id bigint, v array<bigint>, far array<double>")
 
 
-def best_of(query: np.ndarray, query_far: np.ndarray, x: np.ndarray, far: np.ndarray, ids: np.ndarray, k: int, best: list) -> None:
-    """Bring a query's heap of (score, -id) up to date with a block of candidates.
+def best_of(
+    queries: np.ndarray, query_far: np.ndarray, names: np.ndarray, x: np.ndarray, far: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query numbers, candidate places and scores of the k best of a block for each query, and all ties with the k-th.
 
-    The queries and candidates of unlike lengths are padded; ``best`` holds at most k entries.
+    First the candidates of the highest bounds are evaluated; their k-th score is the mark that all others' bounds must reach
+    to be evaluated at all. Bounds are in single precision with slack in proportion, scores in exact whole numbers.
     """
-    bound = ((query @ query) + (x * x).sum(axis=1) - np.abs(far - query_far).max(axis=1) ** 2) / 2 + SLACK
-    order = np.argsort(-bound, kind="stable")
-    at, size = 0, 4 * k
-    while at < len(order):
-        if len(best) == k and bound[order[at]] < best[0][0]:
-            return
-        group = order[at : at + size]
-        scores = x[group] @ query
-        for s, i in zip(scores.tolist(), ids[group].tolist(), strict=True):
-            entry = (int(s), -i)
-            if len(best) < k:
-                heapq.heappush(best, entry)
-            elif entry > best[0]:
-                heapq.heapreplace(best, entry)
-        at, size = at + size, 2 * size
+    size_q, size_x = (queries * queries).sum(axis=1), (x * x).sum(axis=1)
+    lower = np.zeros((len(queries), len(x)), np.float32)
+    for p in range(far.shape[1]):
+        np.maximum(lower, np.abs(query_far[:, p, None] - far[None, :, p]), out=lower)
+    both = size_q[:, None] + size_x
+    bound = (both - np.square(lower, dtype=np.float64)) / 2 + SLACK * both + 1
+    own = names[:, None] == ids
+    bound[own] = -np.inf
+    scores = np.full(bound.shape, -np.inf)
+    first = min(FIRST * k, len(x))
+    if first < len(x):
+        at = np.argpartition(-bound, first - 1, axis=1)[:, :first]
+        np.put_along_axis(scores, at, np.einsum("qd,qmd->qm", queries, x[at]), axis=1)
+        scores[own] = -np.inf
+        mark = np.partition(scores, len(x) - k, axis=1)[:, len(x) - k] if k <= len(x) else np.full(len(queries), -np.inf)
+        reach = (bound >= mark[:, None]) & np.isneginf(scores) & ~own
+    else:
+        reach = ~own
+    columns = np.flatnonzero(reach.any(axis=0))
+    if len(columns):
+        found = queries @ x[columns].T
+        scores[:, columns] = np.where(reach[:, columns], found, scores[:, columns])
+    mark = np.partition(scores, len(x) - k, axis=1)[:, len(x) - k] if k <= len(x) else np.full(len(queries), -np.inf)
+    q, c = np.nonzero((scores >= mark[:, None]) & ~np.isneginf(scores))
+    return q, c, scores[q, c].astype(np.int64)
+
+
+def _cut(q: np.ndarray, i: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query, ties to the smaller id."""
+    order = np.lexsort((i, -s, q))
+    q, i, s = q[order], i[order], s[order]
+    starts = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
+    rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
+    return q[rank < k], i[rank < k], s[rank < k]
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -127,25 +151,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
 def _searcher(sent, k: int, dim: int, n_pivots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, queries, query_far = sent.value
-        best: list[list] = [[] for _ in names]
+        names, query_far = np.array(names, np.int64), query_far.astype(np.float32)
+        best = tuple(np.zeros(0, np.int64) for _ in range(3))
         for batch in batches:
             for at in range(0, batch.num_rows, CANDIDATE_BLOCK):
                 part = batch.slice(at, CANDIDATE_BLOCK)
                 ids = part.column("vec_id").to_numpy()
-                x, far = _stack(part.column("v").to_pylist(), dim), _stack(part.column("far").to_pylist(), n_pivots)
-                place = {i: p for p, i in enumerate(ids.tolist())} if len(set(ids.tolist())) == len(ids) else None
-                for j, name in enumerate(names):
-                    own = np.flatnonzero(ids == name) if place is None else [place[name]] if name in place else []
-                    if len(own):
-                        keep = np.ones(len(ids), bool)
-                        keep[own] = False
-                        best_of(queries[j], query_far[j], x[keep], far[keep], ids[keep], k, best[j])
-                    else:
-                        best_of(queries[j], query_far[j], x, far, ids, k, best[j])
-        rows = [(name, -i, s) for name, heap in zip(names, best, strict=True) for s, i in heap]
-        if rows:
-            q, i, s = (np.array(c, np.int64) for c in zip(*rows, strict=True))
-            yield pa.RecordBatch.from_pydict({"query_id": pa.array(q), "vec_id": pa.array(i), "score": pa.array(s)})
+                x, far = _stack(part.column("v").to_pylist(), dim), _stack(part.column("far").to_pylist(), n_pivots).astype(np.float32)
+                found = [best]
+                for j in range(0, len(names), QUERIES_AT_ONCE):
+                    some = slice(j, j + QUERIES_AT_ONCE)
+                    q, c, s = best_of(queries[some], query_far[some], names[some], x, far, ids, k)
+                    found.append((q + j, ids[c], s))
+                best = _cut(*(np.concatenate(f) for f in zip(*found, strict=True)), k)
+        q, i, s = best
+        yield pa.RecordBatch.from_pydict({"query_id": pa.array(names[q]), "vec_id": pa.array(i), "score": pa.array(s)})
 
     return run
 

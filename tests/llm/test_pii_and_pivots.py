@@ -46,7 +46,7 @@ def test_spans_equal_patterns(spark):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest(), text
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(x[2] == kind for x in want) for kind in pii.BASE]
         assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
-    assert "url:4:23" in found[4]["spans"] and "url:26:35" in found[4]["spans"] and "account:5:32" in found[5]["spans"]
+    assert "url:4:21" in found[4]["spans"] and "url:24:33" in found[4]["spans"] and "account:5:32" in found[5]["spans"]
     assert pii.digest(documents(spark, CASES).limit(0)).count() == 0
 
 
@@ -93,12 +93,14 @@ def test_top_k_small_tables(spark):
     assert len(pivot_search.top_k(few, F.col("vec_id") == 20).collect()) == 2
 
 
-def test_bound_order_stops_early():
+def test_bounds_eliminate_and_keep_the_best():
     r = np.random.default_rng(0)
     x = np.floor(64 * r.normal(size=(4000, 4)))
-    q, pivots = x[0], pivot_search.spread_pivots(x[:500], 16)
-    far, best = pivot_search._distances(x, pivots), []
-    pivot_search.best_of(q, pivot_search._distances(q[None], pivots)[0], x[1:], far[1:], np.arange(1, 4000), 20, best)
-    scores = x[1:] @ q
-    order = np.lexsort((np.arange(1, 4000), -scores))[:20]
-    assert sorted(best, reverse=True) == [(int(scores[o]), -(int(o) + 1)) for o in order]
+    pivots = pivot_search.spread_pivots(x[:500], 16)
+    far = pivot_search._distances(x, pivots).astype(np.float32)
+    ids = np.arange(4000)
+    q, c, s = pivot_search._cut(*pivot_search.best_of(x[:50], far[:50], ids[:50], x, far, ids, 20), 20)
+    for k in range(50):
+        scores = np.where(ids == k, -np.inf, x @ x[k])
+        order = np.lexsort((ids, -scores))[:20]
+        assert c[q == k].tolist() == order.tolist() and s[q == k].tolist() == scores[order].astype(int).tolist()

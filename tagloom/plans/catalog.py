@@ -20,6 +20,8 @@ CHEMICAL = ("^[a-z]+(?:ine|ion|ol)$", r"^\d+[A-Za-z]")
 AFFIXES = ("anti-", "-ing", "-tion")
 #: Labelled sentences the registered CRF runs are fitted on, about.
 CRF_FIT_ROWS = 1000
+#: They have converged when ten steps gain less than this part of the loss.
+CRF_DELTA = 0.02
 
 
 # ---------------------------------------------------------------- shared parts
@@ -450,7 +452,7 @@ def g4_crf_gradient(s, d):
 
 
 def g4_fit_crf(s, d):
-    model = crf.fit_crf(crf.to_sequences(_chain_rows(s, d, True)), fit_rows=CRF_FIT_ROWS)
+    model = crf.fit_crf(crf.to_sequences(_chain_rows(s, d, True)), fit_rows=CRF_FIT_ROWS, delta=CRF_DELTA)
     attrs = model.tables["attribute_weights"].select(
         F.col("attribute").alias("from"), F.col("label").alias("to"), F.round("weight", 3).alias("weight")
     )
@@ -561,7 +563,7 @@ def j2_train_and_score_both(s, d):
     ))
     rows = settle(rows.select("sid", "text", entities.alias("entities")))
     stats = runs.train_and_score(
-        rows.filter(_in_train()), rows.filter(~_in_train()), runs.Resources(**_lists(s, d)), mode="simple", fit_rows=CRF_FIT_ROWS
+        rows.filter(_in_train()), rows.filter(~_in_train()), runs.Resources(**_lists(s, d)), mode="simple", fit_rows=CRF_FIT_ROWS, delta=CRF_DELTA
     )
     out = None
     for name, table in stats.items():

@@ -347,6 +347,42 @@ SELECT g.sid, g.start AS gs, g."end" AS ge, g.type AS gt, q.start AS ps, q."end"
        WHEN g.start = q.start AND g."end" = q."end" THEN 1 ELSE 2 END AS rank
 FROM goldkey g JOIN decoded q ON g.sid = q.sid AND g.start <= q."end" AND q.start <= g."end\""""
 
+# Treebank words without look-around: a boundary is matched as the character beside it, and given back
+W = r"[\p{L}\p{M}\p{N}_]"
+EDGE = r"[^\p{L}\p{M}\p{N}_]"
+LONE = r"('')([a-ce-lo-ru-zA-CE-LO-RU-Z0-9_\x{C0}-\x{24F}])($|" + EDGE + ")"
+TREEBANK_BEFORE = [
+    ("([«“‘„]|`+)", r" \1 "), ('^"', "``"), ("(``)", r" \1 "), (r"([ (\[{<])(?:\"|''{2})", r"\1 `` "), (LONE, r"\1 \2\3"), (LONE, r"\1 \2\3"),
+    (r"([^.])(\.)([\])}>\"''»”’ ]*)\s*$", r"\1 \2 \3 "), (r"([:,])([^\p{Nd}])", r" \1 \2"), ("([:,])$", r" \1 "), (r"(\.{2,})", r" \1 "),
+    ("([;@#$%&])", r" \1 "), ("([?!])", r" \1 "), ("([^''])'' ", r"\1 '' "), (r"(\*)", r" \1 "),
+    (r"([\]\[(){}<>])", r" \1 "), ("(--)", r" \1 "),
+]
+TREEBANK_AFTER = [
+    ("([»”’])", r" \1 "), ("('''')", r" \1 "), ('"', " '''' "), ("([^'' ])(''[sS]|''[mM]|''[dD]|'') ", r"\1 \2 "),
+    ("([^'' ])(''ll|''LL|''re|''RE|''ve|''VE|n''t|N''T) ", r"\1 \2 "),
+    *[(rf"(?i)({EDGE})({a})({b})({EDGE})", r"\1 \2 \3 \4") for _ in (1, 2) for a, b in (
+        ("can", "not"), ("d", "''ye"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("more", "''n"))],
+    (r"(?i)(" + EDGE + r")(wan)(na)(\s)", r"\1 \2 \3 \4"),
+    *[(rf"(?i) (''t)({b})({EDGE})", r" \1 \2 \3") for b in ("is", "was")],
+]
+
+
+def _treebank(text: str) -> str:
+    for pattern, by in TREEBANK_BEFORE:
+        text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+    text = f"(' ' || {text} || ' ')"
+    for pattern, by in TREEBANK_AFTER:
+        text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+    return text
+
+
+VIEWS["bank"] = f"SELECT sid, text, list_filter(regexp_split_to_array({_treebank('text')}, '\\s+'), lambda w: w <> '') AS w FROM sent"
+FOUND = "(CASE WHEN strpos(substr(text, a.nxt + 1), f) = 0 THEN -1 ELSE strpos(substr(text, a.nxt + 1), f) - 1 + a.nxt END)"
+VIEWS["banktok"] = f"""
+SELECT sid, unnest(range(len(done)))::INTEGER AS tok_ix, unnest(done) AS t FROM (
+  SELECT sid, list_reduce(w, lambda a, f: {{'nxt': {FOUND} + length(f), 'done': list_append(a.done, {{'form': f, 'start': {FOUND}, 'end': {FOUND} + length(f) - 1}})}},
+    {{'nxt': 0::BIGINT, 'done': []::STRUCT(form VARCHAR, start BIGINT, "end" BIGINT)[]}}).done AS done FROM bank)"""
+
 # --- queries -----------------------------------------------------------------------------------
 
 QUERIES = {
@@ -380,6 +416,8 @@ WHERE md.p_size % 5 = 4 AND (di.s_nationkey IS NULL OR di.s_nationkey % 3 + 3 =
 GROUP BY ALL""",
     "a14_lexicon_from_annotations": 'SELECT type, lower(text) AS term, count(*) AS n FROM (SELECT DISTINCT sid, "offset", text, type FROM ent) GROUP BY ALL',
     "b1_tokenize": "SELECT sid, count(*)::INTEGER AS n, string_agg(form, ' ' ORDER BY tok_ix) AS forms FROM tok GROUP BY sid",
+    "b1_tokenize_treebank": "SELECT sid, len(w)::INTEGER AS n, array_to_string(w, ' ') AS forms FROM bank",
+    "b2_align_offsets_treebank": 'SELECT sid, tok_ix, t.form AS form, t.start::INTEGER AS start, t."end"::INTEGER AS "end" FROM banktok',
     "b2_align_offsets": "SELECT * FROM tok",
     "b3_bio_tag": "SELECT sid, string_agg(tag, ' ' ORDER BY tok_ix) AS tags FROM tagged GROUP BY sid",
     "b4_sanitize": r"""

@@ -6,11 +6,12 @@ into one part more than they may differ in, at least one part holds the same ele
 the size level; levels are so wide that linked sets are at most one level apart, and every set is cut for its own level and
 the next. Sets that agree in some part are candidates; nothing that links is missed.
 
-Candidates form groups: the connected pieces of the agreement graph, or, where such a piece is large, the sets that agree in
-one part; a group beyond BLOCK sets is cut into blocks and every pair of blocks is a group. A group's sets are stored in a
-path-compressed trie. Every set is looked up by a walk that shares the overlap along common prefixes and leaves a subtree when
-the remaining lengths cannot reach the needed overlap, or when all its sets are already known to be in the component. What
-comes out are links that span the components, so no group emits all its pairs.
+Candidates form groups: the connected pieces of the agreement graph, or, where such a piece is very large (WHOLE blocks), the
+sets that agree in one part; a group beyond BLOCK sets is cut into blocks and every pair of blocks is a group. A group's sets
+are stored in a path-compressed trie. A set is looked up by a walk that shares the overlap along common prefixes and leaves a
+subtree when the remaining lengths cannot reach the needed overlap, or when all its sets are already known to be in the
+component. Sets of a component with more than half of a group need not be looked up, since all others are. What comes out are
+links that span the components, so no group emits all its pairs.
 
 Null and wordless texts have no set and are a component of their own; so is a row with a null id. Fewer than three words are
 one shingle. Repeated rows and equal texts share a component. Only doc_id and text are read.
@@ -31,8 +32,9 @@ from tagloom.llm.common import byte_class, flat, mix, pieces, word_hashes
 from tagloom.llm.components import connected_components
 
 NGRAM = 3
-#: Sets of one trie.
+#: Sets of one trie, and how many tries' worth of sets of one connected piece meet as such.
 BLOCK = 2000
+WHOLE = 16
 #: Words are runs of anything but blanks.
 WORD_BYTES = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 CHUNK = 64
@@ -149,7 +151,7 @@ def build(sets: list[np.ndarray], order: list[int]) -> Node:
 
 class Forest:
     def __init__(self, n: int):
-        self.up = list(range(n))
+        self.up, self.size = list(range(n)), [1] * n
 
     def find(self, x: int) -> int:
         while self.up[x] != x:
@@ -158,7 +160,10 @@ class Forest:
         return x
 
     def join(self, a: int, b: int) -> None:
-        self.up[self.find(a)] = self.find(b)
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.up[a] = b
+            self.size[b] += self.size[a]
 
 
 def _same(node: Node, forest: Forest) -> bool:
@@ -174,6 +179,8 @@ def links(sets: list[np.ndarray], block: list[int] | None = None) -> Forest:
     order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
     root, forest = build(sets, order), Forest(len(sets))
     for k, x in enumerate(sets):
+        if 2 * forest.size[forest.find(k)] > len(sets):
+            continue
         s, todo = len(x), [(root, 0, 0)]
         while todo:
             node, shared, depth = todo.pop()
@@ -235,8 +242,9 @@ def _groups(hits: DataFrame, block: int) -> DataFrame:
     pieces_of = connected_components(hits.select(F.col("set").alias("a"), F.col("least").alias("b")))
     whole = settle(pieces_of.select(F.col("node").alias("set"), "root").unionAll(pieces_of.select("root", "root").distinct().toDF("set", "root")))
     size = whole.groupBy("root").agg(F.count("*").alias("n"))
-    large = whole.join(size.filter(F.col("n") > block), "root").select("set").distinct()
-    small = whole.join(size.filter(F.col("n") <= block), "root").select(F.col("root").alias("route"), "set", F.lit(1).alias("n"))
+    large = whole.join(size.filter(F.col("n") > WHOLE * block), "root").select("set").distinct()
+    small = whole.join(size.filter(F.col("n") <= WHOLE * block), "root")
+    small = small.select(F.col("root").alias("route"), "set", F.ceil(F.col("n") / block).cast("int").alias("n"))
     split = hits.join(large, "set").select(F.col("mark").alias("route"), "set")
     members = split.groupBy("route").agg(F.count("*").alias("m"))
     split = split.join(members, "route").select("route", "set", F.ceil(F.col("m") / block).cast("int").alias("n"))

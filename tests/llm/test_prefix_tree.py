@@ -54,9 +54,10 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("block", [2000, 4])
-def test_equals_brute_force(spark, block):
-    texts = corpus(block)
+@pytest.mark.parametrize(("block", "whole"), [(2000, 16), (4, 16), (4, 1)])
+def test_equals_brute_force(spark, monkeypatch, block, whole):
+    monkeypatch.setattr(prefix_tree, "WHOLE", whole)
+    texts = corpus(block + whole)
     found = by_id(prefix_tree.jaccard_components(documents(spark, texts), block=block))
     assert [tuple(found[k])[1:] for k in range(len(texts))] == brute(texts)
 

@@ -48,10 +48,28 @@ def _summed(held: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"word": pa.array(words.view(np.int64)), "n": pa.array(counts)})
 
 
+def _packed(columns: dict[str, type]):
+    """Bring the rows of a partition into one row of bytes, so that the driver gets arrays and not a row for each cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[c.to_numpy(zero_copy_only=False).astype(t) for c, t in zip(b.columns, columns.values(), strict=True)] for b in batches if b.num_rows]
+        if held:
+            arrays = [np.concatenate(c).tobytes() for c in zip(*held, strict=True)]
+            yield pa.RecordBatch.from_pydict({n: pa.array([a], pa.binary()) for n, a in zip(columns, arrays, strict=True)})
+
+    return run
+
+
+def collect_arrays(rows: DataFrame, columns: dict[str, type]) -> list[np.ndarray]:
+    """The named columns of a table of bounded size as arrays on the driver."""
+    packed = rows.select(*columns).mapInArrow(_packed(columns), ", ".join(f"{c} binary" for c in columns)).collect()
+    return [np.concatenate([np.zeros(0, t), *(np.frombuffer(r[c], t) for r in packed)]) for c, t in columns.items()]
+
+
 def vocabulary(documents: DataFrame, size: int = VOCABULARY) -> np.ndarray:
     """Sorted hashes of the most frequent words; ties go to the smaller hash."""
     counts = documents.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(size).select("word").toPandas()["word"].to_numpy(np.int64)
+    (top,) = collect_arrays(counts.orderBy(F.desc("n"), "word").limit(size), {"word": np.int64})
     return np.sort(top.view(np.uint64))
 
 
@@ -125,8 +143,9 @@ def fit(documents: DataFrame, labels: DataFrame, vocabulary_size: int = VOCABULA
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")
     rows = rows.select("text", F.coalesce("target", F.lit(False)).alias("target"))
     sums = rows.mapInArrow(_count_pairs(context.broadcast(coder)), "cell bigint, b bigint, t bigint")
-    counted = sums.groupBy("cell").agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toPandas()
-    return Models(coder, counted["cell"].to_numpy(np.int64), counted[["b", "t"]].to_numpy(np.float32).T)
+    counted = sums.groupBy("cell").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+    cells, background, target = collect_arrays(counted, {"cell": np.int64, "b": np.float32, "t": np.float32})
+    return Models(coder, cells, np.stack([background, target]))
 
 
 def score(documents: DataFrame, models: Models) -> DataFrame:

@@ -149,7 +149,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling from eight symbols on; only what is still tied is sorted again."""
     n = len(text)
     packed = np.zeros(n, np.uint64)
-    padded = np.concatenate([text, np.zeros(8, text.dtype)]).astype(np.uint64)
+    padded = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64)])
     for k in range(7):  # seven symbols of nine bits
         packed = (packed << np.uint64(9)) | padded[k : k + n]
     order = np.argsort(packed, kind="stable")

@@ -34,7 +34,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     catalog.QUERIES["b1_tokenize"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm up
-    began, most = time.time(), float(os.environ.get("BENCH_SECONDS", "900"))
+    began, most = time.time(), float(os.environ.get("BENCH_SECONDS", "600"))
     for name in os.environ.get("BENCH_QUERIES", " ".join(HEADLINE)).split():
         if time.time() - began > most:
             times[name] = None

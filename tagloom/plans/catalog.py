@@ -18,10 +18,10 @@ from tagloom.streaming import score as stream
 SPAN_KEY = ("sid", "start", "end", "text")
 CHEMICAL = ("^[a-z]+(?:ine|ion|ol)$", r"^\d+[A-Za-z]")
 AFFIXES = ("anti-", "-ing", "-tion")
-#: Labelled sentences the registered CRF runs are fitted on, about.
-CRF_FIT_ROWS = 1000
+#: Labelled sentences the registered CRF runs are fitted on, about; everything else covers all sentences.
+CRF_FIT_ROWS = 300
 #: They have converged when ten steps gain less than this part of the loss.
-CRF_DELTA = 0.02
+CRF_DELTA = 0.05
 
 
 # ---------------------------------------------------------------- shared parts
@@ -452,7 +452,9 @@ def g4_crf_gradient(s, d):
 
 
 def g4_fit_crf(s, d):
-    model = crf.fit_crf(crf.to_sequences(_chain_rows(s, d, True)), fit_rows=CRF_FIT_ROWS, delta=CRF_DELTA)
+    share = -(-views.sentences(s, d).count() // CRF_FIT_ROWS)
+    chosen = settle(_chain_rows(s, d, True).filter(F.pmod(F.xxhash64("sid"), F.lit(max(1, share))) == 0))
+    model = crf.fit_crf(crf.to_sequences(chosen), delta=CRF_DELTA)
     attrs = model.tables["attribute_weights"].select(
         F.col("attribute").alias("from"), F.col("label").alias("to"), F.round("weight", 3).alias("weight")
     )

@@ -9,9 +9,8 @@ the next. Sets that agree in some part are candidates; nothing that links is mis
 Candidates form groups: the connected pieces of the agreement graph, or, where such a piece is very large (WHOLE blocks), the
 sets that agree in one part; a group beyond BLOCK sets is cut into blocks and every pair of blocks is a group. A group's sets
 are stored in a path-compressed trie. A set is looked up by a walk that shares the overlap along common prefixes and leaves a
-subtree when the remaining lengths cannot reach the needed overlap, or when all its sets are already known to be in the
-component. Sets of a component with more than half of a group need not be looked up, since all others are. What comes out are
-links that span the components, so no group emits all its pairs.
+subtree when the remaining lengths cannot reach the needed overlap. Sets of a component with more than half of a group need not
+be looked up, since all others are. What comes out are links that span the components, so no group emits all its pairs.
 
 Null and wordless texts have no set and are a component of their own; so is a row with a null id. Fewer than three words are
 one shingle. Repeated rows and equal texts share a component. Only doc_id and text are read.
@@ -111,42 +110,80 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"set": pa.array([w for w, _ in found], pa.int64()), "elements": pa.array([s.tobytes() for _, s in found], pa.binary())})
 
 
-class Node:
-    __slots__ = ("edge", "children", "members", "low", "high", "any", "pure")
-
-    def __init__(self, edge):
-        self.edge, self.children, self.members = edge, [], []
-        self.low, self.high, self.any, self.pure = 1 << 62, 0, -1, False
-
-
-def build(sets: list[np.ndarray], order: list[int]) -> Node:
-    """A trie of the sets, which come in lexicographic order; single chains are one edge."""
-    root = Node(np.zeros(0, np.uint64))
-    todo, made = [(root, 0, len(order), 0)], [root]
-    while todo:
-        node, a, b, depth = todo.pop()
-        at = a
-        while at < b and len(sets[order[at]]) == depth:
-            node.members.append(order[at])
-            at += 1
-        while at < b:
-            head, upto = sets[order[at]][depth], at + 1
-            while upto < b and sets[order[upto]][depth] == head:
-                upto += 1
-            one, other = sets[order[at]], sets[order[upto - 1]]
-            n = min(len(one), len(other))
-            apart = np.flatnonzero(one[depth:n] != other[depth:n])
-            end = depth + int(apart[0]) if len(apart) else n
-            child = Node(one[depth:end])
-            node.children.append(child)
-            made.append(child)
-            todo.append((child, at, upto, end))
-            at = upto
-    for node in reversed(made):
-        sizes = [len(sets[m]) for m in node.members] + [x for c in node.children for x in (c.low, c.high)]
-        node.low, node.high = min(sizes, default=0), max(sizes, default=0)
-        node.any = node.members[0] if node.members else node.children[0].any if node.children else -1
-    return root
+class Trie:
+    """Path-compressed trie of sets in lexicographic order, as arrays; long edges are chains of CHUNK elements.
+
+    A node has its edge ``tokens[start:end]``, its depth before the edge, the smallest and largest size of the sets below, its
+    children (one after the other) and its members, the sets that end there.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
+        sizes = np.array([len(sets[k]) for k in order])
+        todo, rows, members, edges, at_edge = [(0, len(order), 0, 0)], [], [], [], 0
+        made = 0
+        while made < len(todo):
+            low, high, depth, end = todo[made]
+            made += 1
+            edge = sets[order[low]][depth : min(end, depth + CHUNK)] if len(order) else np.zeros(0, np.uint64)
+            depth_after, first, first_member = depth + len(edge), len(todo), len(members)
+            if depth_after < end:
+                todo.append((low, high, depth_after, end))
+            else:
+                at = low
+                while at < high and sizes[at] == end:
+                    members.append(order[at])
+                    at += 1
+                while at < high:
+                    head, upto = sets[order[at]][end], at + 1
+                    while upto < high and sets[order[upto]][end] == head:
+                        upto += 1
+                    one, other = sets[order[at]], sets[order[upto - 1]]
+                    n = min(len(one), len(other))
+                    apart = np.flatnonzero(one[end:n] != other[end:n])
+                    todo.append((at, upto, end, end + int(apart[0]) if len(apart) else n))
+                    at = upto
+            own = sizes[low:high]
+            rows.append((at_edge, at_edge + len(edge), depth, own.min() if len(own) else 0, own.max() if len(own) else 0, first, len(todo), first_member, len(members)))
+            edges.append(edge)
+            at_edge += len(edge)
+        self.start, self.end, self.depth, self.low, self.high, self.child, self.child_end, self.member, self.member_end = np.array(rows, np.int64).T
+        self.members = np.array(members, np.int64)
+        known, dense = np.unique(np.concatenate([*edges, *sets]), return_inverse=True)
+        self.tokens = dense[:at_edge]
+        cuts = np.cumsum([at_edge, *map(len, sets)])
+        self.sets = [dense[cuts[k] : cuts[k + 1]] for k in range(len(sets))]
+        self.inside = np.zeros(len(known), bool)
+
+    def linked(self, k: int) -> np.ndarray:
+        """The sets with a Jaccard similarity of 0.9 or more to set ``k``, itself included.
+
+        All branches are walked together, one edge at a time: what was shared along a prefix goes on to its children, and
+        branches whose remaining lengths cannot reach the needed overlap end.
+        """
+        x = self.sets[k]
+        s, found = len(x), []
+        self.inside[x] = True
+        front, shared = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(front):
+            a, n = self.start[front], self.end[front] - self.start[front]
+            off = np.cumsum(n) - n
+            hits = self.inside[self.tokens[np.arange(n.sum()) + np.repeat(a - off, n)]]
+            sums = np.concatenate([[0], np.cumsum(hits)])
+            shared = shared + sums[off + n] - sums[off]
+            depth = self.depth[front] + n
+            rest = s - np.where(n > 0, np.searchsorted(x, self.tokens[np.maximum(a + n - 1, 0)], side="right") if len(self.tokens) else 0, 0)
+            best = np.clip(depth + rest, self.low[front], self.high[front])
+            alive = 19 * (shared + np.minimum(rest, best - depth)) >= 9 * (s + best)
+            front, shared, depth = front[alive], shared[alive], depth[alive]
+            ends = (self.member_end[front] > self.member[front]) & (19 * shared >= 9 * (s + depth))
+            found += [self.members[self.member[f] : self.member_end[f]] for f in front[ends]]
+            number = self.child_end[front] - self.child[front]
+            off = np.cumsum(number) - number
+            shared = np.repeat(shared, number)
+            front = np.arange(number.sum()) + np.repeat(self.child[front] - off, number)
+        self.inside[x] = False
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 class Forest:
@@ -166,47 +203,15 @@ class Forest:
             self.size[b] += self.size[a]
 
 
-def _same(node: Node, forest: Forest) -> bool:
-    """Whether all sets below are known to be one component; once so, always so."""
-    if not node.pure:
-        own = forest.find(node.any)
-        node.pure = all(forest.find(m) == own for m in node.members) and all(c.pure and forest.find(c.any) == own for c in node.children)
-    return node.pure
-
-
 def links(sets: list[np.ndarray], block: list[int] | None = None) -> Forest:
     """Components of the sets under Jaccard >= 0.9; with ``block``, only pairs from different blocks are compared."""
-    order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
-    root, forest = build(sets, order), Forest(len(sets))
-    for k, x in enumerate(sets):
+    trie, forest = Trie(sets), Forest(len(sets))
+    for k in range(len(sets)):
         if 2 * forest.size[forest.find(k)] > len(sets):
             continue
-        s, todo = len(x), [(root, 0, 0)]
-        while todo:
-            node, shared, depth = todo.pop()
-            if _same(node, forest) and forest.find(node.any) == forest.find(k):
-                continue
-            edge, at, alive = node.edge, 0, True
-            while True:
-                rest = s - (int(np.searchsorted(x, edge[at - 1], side="right")) if at else int(np.searchsorted(x, edge[0])) if len(edge) else 0)
-                best = min(max(depth + rest, node.low), node.high)
-                if 19 * (shared + min(rest, best - depth)) < 9 * (s + best):
-                    alive = False
-                    break
-                if at == len(edge):
-                    break
-                part = edge[at : at + CHUNK]
-                where = np.searchsorted(x, part)
-                where[where == s] = s - 1
-                shared += int((x[where] == part).sum())
-                at += len(part)
-                depth += len(part)
-            if not alive:
-                continue
-            for m in node.members:
-                if m != k and (block is None or block[m] != block[k]) and 19 * shared >= 9 * (s + depth):
-                    forest.join(k, m)
-            todo += [(c, shared, depth) for c in node.children]
+        for m in trie.linked(k).tolist():
+            if block is None or block[m] != block[k]:
+                forest.join(k, m)
     return forest
 
 

@@ -271,11 +271,14 @@ def jaccard_components(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     elements = rows.join(wanted, "doc_id").select("set", "text").mapInArrow(_elements, "set bigint, elements binary")
     met = groups.join(elements.dropDuplicates(["set"]), "set").repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")
     found = met.select("route", "i", "j", "set", "own", "elements").mapInArrow(_linked, "a bigint, b bigint")
-    linked = connected_components(found).withColumnsRenamed({"node": "set", "root": "other"})
-    known = sketch.drop("marks").join(linked, "set", "left").withColumn("other", F.coalesce("other", "set"))
-    known = known.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("other")).alias("class"))
-    least = known.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return known.join(least, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    linked = connected_components(found).withColumnsRenamed({"node": "set"})
+    first = sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("first")).join(linked, "set", "left")
+    classes = first.select("set", "first", F.coalesce("root", "set").alias("class"))
+    least = classes.groupBy("class").agg(F.min("first").alias("component_id"))
+    # written first, so that Spark can split a set with very many copies in the last join
+    of_set = settle(classes.join(least, "class").select("set", "component_id"))
+    known = sketch.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set")).alias("set"))
+    return known.join(of_set, "set", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:

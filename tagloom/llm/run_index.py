@@ -303,7 +303,8 @@ def remove_repeats(documents: DataFrame, hot: int = HOT) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", F.hash("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     places = rows.mapInArrow(_occurrences, f"key bigint, name bigint, doc_id {kind}, text_hash int, start int, n int")
-    keys = places.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key", (F.col("m") > hot).alias("hot"))
+    # written first, so that Spark can split a key with very many places in the join
+    keys = settle(places.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key", (F.col("m") > hot).alias("hot")))
     shared = settle(places.join(keys, "key"))
     once = shared.groupBy("key", "name").agg(
         F.min(F.struct("doc_id", "text_hash", "start", "n")).alias("one"), F.count("*").alias("copies"), F.first("hot").alias("hot")

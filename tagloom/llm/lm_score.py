@@ -19,14 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions.scale import lookup_join
 from tagloom.llm.common import byte_class, flat, mix, pieces, word_hashes
 
 VOCABULARY = 1 << 16
 SLOTS = 1 << 21
 #: Share of bigram, unigram and uniform probability.
 WEIGHTS = (0.6, 0.35, 0.05)
-#: The target is at most about so many labelled documents (those of smallest hash); the background is never sampled.
-TARGET_ROWS = 200_000
 WORD_BYTES = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 
 
@@ -133,14 +132,12 @@ class Models:
         return -np.log(two * pair + one * single + flat_ / (self.coder.unknown + 1))
 
 
-def fit(documents: DataFrame, labels: DataFrame, vocabulary_size: int = VOCABULARY, slots: int = SLOTS, target_rows: int = TARGET_ROWS) -> Models:
-    """labels: doc_id and quality, 1 marks the target. What reaches the driver is at most slots + 2 V rows."""
+def fit(documents: DataFrame, labels: DataFrame, vocabulary_size: int = VOCABULARY, slots: int = SLOTS) -> Models:
+    """labels: doc_id and quality, 1 marks the target; every document so labelled counts there. What reaches the driver is at most slots + 2 V rows."""
     context = documents.sparkSession.sparkContext
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    share = max(1, -(-good.count() // target_rows))
-    chosen = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).withColumn("target", F.lit(True))
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
     coder = Coder(vocabulary(documents, vocabulary_size), slots)
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")
+    rows = lookup_join(documents.select("doc_id", "text"), good, "doc_id", ["doc_id", "text"])
     rows = rows.select("text", F.coalesce("target", F.lit(False)).alias("target"))
     sums = rows.mapInArrow(_count_pairs(context.broadcast(coder)), "cell bigint, b bigint, t bigint")
     counted = sums.groupBy("cell").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))

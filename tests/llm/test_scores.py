@@ -81,6 +81,16 @@ def test_cross_entropy_difference(spark):
     assert lm_score.digest(docs, labels.limit(0)).count() == len(texts)
 
 
+def test_every_good_document_is_target(spark):
+    texts = sentences(4, 40, "abcd")
+    labels = spark.range(450_000).selectExpr("id AS doc_id", "1 AS quality")
+    docs = documents(spark, texts)
+    models = lm_score.fit(docs, labels)
+    found = by_id(lm_score.score(docs, models))
+    for kind, name in ((1, "target_loss"), (0, "background_loss")):
+        assert np.allclose([found[k][name] for k in range(40)], brute_losses(texts, set(range(40)), kind, models.coder), atol=1e-5)
+
+
 def toxic_case(spark):
     r = random.Random(8)
     clean, texts, toxic = sentences(3, 700, "abcdefgh"), [], []

@@ -117,10 +117,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{_scratch_root(spark, shared)}/{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a table to shared storage and read it back: cuts lineage and survives lost executors."""
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

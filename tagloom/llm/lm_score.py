@@ -1,10 +1,15 @@
 """Cross-entropy difference scores.
 
-A target model (labelled good documents) and a background model (all other documents) share one vocabulary, one table size and
-one smoothing, so their losses are comparable token by token. Words are counted over the whole corpus; the vocabulary is the
-most frequent ones, all others are one unknown word. Bigrams are counted in a fixed number of hashed slots, for both models in
-the same pass; each task sums its own rows first and Spark sums the tasks. Probabilities interpolate bigram, unigram and
-uniform. A document's score is the mean over its words of target loss minus background loss: the lower, the more target-like.
+A target model (labelled good documents) and a background model (all other documents) share one vocabulary and one smoothing, so
+their losses are comparable token by token. All words of the corpus are known and every bigram has its own exact count, so what
+is counted grows with the corpus. Probabilities interpolate bigram, unigram and uniform. A document's score is the mean over its
+words of target loss minus background loss: the lower, the more target-like.
+
+Documents are written in blocks of about BLOCK_BYTES of text. What a block counts (cells: bigrams, words and words that precede)
+is summed inside the block, cut by hash ranges and sent to these; a range holds about BUCKET_CELLS cells whatever the size of the
+corpus, sums what blocks sent and returns the sums to them in the order of their cells. So a cell travels once for each block, a
+frequent one has no more rows than there are blocks, and no task or driver holds a model. A fit may instead know only the most
+frequent words (all others are one unknown word) and hash bigrams into slots. Words and cells are identified by 62 to 64 bits.
 
 Null and wordless texts have 0 words and losses and score 0. Labels of no document, null labels and ids are ignored; repeated
 rows are counted and scored one by one. Without target documents the target model is uniform. Only doc_id and text are read.
@@ -16,153 +21,251 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.scale import lookup_join
+from tagloom.functions.scale import lookup_join, settle
 from tagloom.llm.common import byte_class, flat, mix, pieces, word_hashes
 
-VOCABULARY = 1 << 16
-SLOTS = 1 << 21
+#: Bytes of text of a block, and about how many cells a hash range holds.
+BLOCK_BYTES = 16 << 20
+BUCKET_CELLS = 1 << 21
 #: Share of bigram, unigram and uniform probability.
 WEIGHTS = (0.6, 0.35, 0.05)
 WORD_BYTES = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
+#: Stands before the first word of a text where words are known by their hashes.
+START = np.uint64(0xA24BAED4963EE407)
+PAIR, WORD, BEFORE = (np.uint64(k) for k in range(3))
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the rows' blocks; a document longer than a block is one."""
+    block, size = TaskContext.get().partitionId() << 32, 0
     for batch in pieces(batches):
-        held.append(np.unique(word_hashes(*flat(batch.column("text")), WORD_BYTES)[2], return_counts=True))
-        size += len(held[-1][0])
-        if size > 4_000_000:
-            yield _summed(held)
-            held, size = [], 0
-    if held:
-        yield _summed(held)
+        n = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+        if size and size + n > BLOCK_BYTES:
+            block, size = block + 1, 0
+        size += n
+        yield batch.append_column("block", pa.array(np.full(batch.num_rows, block, np.int64)))
 
 
-def _summed(held: list) -> pa.RecordBatch:
-    words, where = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
-    counts = np.bincount(where, np.concatenate([n for _, n in held]), len(words)).astype(np.int64)
-    return pa.RecordBatch.from_pydict({"word": pa.array(words.view(np.int64)), "n": pa.array(counts)})
+def blocked(rows: DataFrame) -> DataFrame:
+    """doc_id, text and target with a block, written so that blocks stay the same."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return settle(rows.select("doc_id", "text", "target").mapInArrow(_blocks, f"doc_id {kind}, text string, target boolean, block bigint"), "zstd")
 
 
-def _packed(columns: dict[str, type]):
-    """Bring the rows of a partition into one row of bytes, so that the driver gets arrays and not a row for each cell."""
+class Counts:
+    """Keys with their counts in the background and the target, summed as they come."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[c.to_numpy(zero_copy_only=False).astype(t) for c, t in zip(b.columns, columns.values(), strict=True)] for b in batches if b.num_rows]
-        if held:
-            arrays = [np.concatenate(c).tobytes() for c in zip(*held, strict=True)]
-            yield pa.RecordBatch.from_pydict({n: pa.array([a], pa.binary()) for n, a in zip(columns, arrays, strict=True)})
+    def __init__(self):
+        self.keys, self.n = ([], []), ([], [])
 
-    return run
+    def add(self, keys: np.ndarray, target: np.ndarray) -> None:
+        for kind, mine in enumerate((~target, target)):
+            found, n = np.unique(keys[mine], return_counts=True)
+            self.keys[kind].append(found)
+            self.n[kind].append(n)
 
+    def held(self) -> int:
+        return sum(map(len, self.keys[0])) + sum(map(len, self.keys[1]))
 
-def collect_arrays(rows: DataFrame, columns: dict[str, type]) -> list[np.ndarray]:
-    """The named columns of a table of bounded size as arrays on the driver."""
-    packed = rows.select(*columns).mapInArrow(_packed(columns), ", ".join(f"{c} binary" for c in columns)).collect()
-    return [np.concatenate([np.zeros(0, t), *(np.frombuffer(r[c], t) for r in packed)]) for c, t in columns.items()]
+    def summed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys, background counts, target counts."""
+        none = np.zeros(0, np.uint64)
+        keys = np.unique(np.concatenate([none, *self.keys[0], *self.keys[1]]))
+        sums = []
+        for kind in (0, 1):
+            at = np.searchsorted(keys, np.concatenate([none, *self.keys[kind]]))
+            sums.append(np.bincount(at, np.concatenate([np.zeros(0), *self.n[kind]]), len(keys)).astype(np.int64))
+        return keys, *sums
 
 
-def vocabulary(documents: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words; ties go to the smaller hash."""
-    counts = documents.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    (top,) = collect_arrays(counts.orderBy(F.desc("n"), "word").limit(size), {"word": np.int64})
-    return np.sort(top.view(np.uint64))
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def done() -> pa.RecordBatch:
+        words, b, t = counts.summed()
+        return pa.RecordBatch.from_pydict({"word": pa.array(words.view(np.int64)), "b": pa.array(b), "t": pa.array(t)})
+
+    counts = Counts()
+    for batch in pieces(batches):
+        _, _, words, first = word_hashes(*flat(batch.column("text")), WORD_BYTES)
+        counts.add(words, np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(first)))
+        if counts.held() > 4_000_000:
+            yield done()
+            counts = Counts()
+    yield done()
 
 
 class Coder:
-    """Numbers words: 0 to V - 1 known, V unknown, V + 1 the start of a text."""
+    """Numbers words. With a vocabulary: 0 to V - 1 known, V unknown, V + 1 the start of a text; without, a word is its hash.
+
+    ``unknown`` is the number of known words. Bigrams are numbered apart, or share a number of slots.
+    """
 
-    def __init__(self, words: np.ndarray, slots: int):
-        self.words, self.slots, self.unknown = words, slots, len(words)
+    def __init__(self, words: np.ndarray | None, unknown: int, slots: int | None = None):
+        self.words, self.unknown, self.slots = words, unknown, slots
 
     def pairs(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers, those before them, the slots of both together, and the first word of each text."""
-        _, _, hashes, first = word_hashes(*flat(texts), WORD_BYTES)
-        if len(self.words):
-            near = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-            word = np.where(self.words[near] == hashes, near, self.unknown)
-        else:
-            word = np.zeros(len(hashes), np.int64)
+        """Word numbers, those before them, the numbers of both together, and the first word of each text."""
+        _, _, word, first = word_hashes(*flat(texts), WORD_BYTES)
+        start = START
+        if self.words is not None:
+            start = np.uint64(self.unknown + 1)
+            if len(self.words):
+                near = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+                word = np.where(self.words[near] == word, near, self.unknown).astype(np.uint64)
+            else:
+                word = np.zeros(len(word), np.uint64)
         before = np.empty_like(word)
         before[1:] = word[:-1]
-        opening = first[:-1][first[:-1] < first[1:]]
-        before[opening] = self.unknown + 1
-        cell = mix(before.astype(np.uint64) * np.uint64(1 << 32) + word.astype(np.uint64) + np.uint64(1))
-        return word, before, (cell % np.uint64(self.slots)).astype(np.int64), first
+        before[first[:-1][first[:-1] < first[1:]]] = start
+        pair = mix(mix(before + np.uint64(1)) + word)
+        return word, before, pair if self.slots is None else pair % np.uint64(self.slots), first
+
+    def cells(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The cells of bigram, word and preceding word of each word, and the first word of each text."""
+        word, before, pair, first = self.pairs(texts)
+        return *((mix(n) & ~np.uint64(3)) | kind for n, kind in ((pair, PAIR), (word, WORD), (before, BEFORE))), first
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Compressed byte by byte: first all lowest bytes, and so on."""
+    return zstandard.compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpack(packed: bytes, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(kind)
+
+
+SLICE = "bucket bigint, block bigint, want boolean, cells binary, b binary, t binary"
+
 
+def _slices(sent, buckets: int, want: bool, counted: bool):
+    """What each block counts, cut into hash ranges."""
 
-def _count_pairs(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = sent.value
-        n = coder.unknown + 2
-        sums = np.zeros((2, coder.slots + 2 * n), np.int64)
+        borders = np.array([(j << 64) // buckets for j in range(1, buckets)], np.uint64)
+        block, counts = None, Counts()
+
+        def done() -> Iterator[pa.RecordBatch]:
+            cells, b, t = counts.summed()
+            if not counted:
+                b, t = np.zeros_like(b), np.zeros_like(t)
+            cuts = np.concatenate([[0], np.searchsorted(cells, borders), [len(cells)]])
+            for j in np.flatnonzero(np.diff(cuts)).tolist():
+                own = slice(cuts[j], cuts[j + 1])
+                gaps = np.diff(cells[own], prepend=np.uint64(0))
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array([j], pa.int64()), "block": pa.array([block], pa.int64()), "want": pa.array([want]),
+                    "cells": pa.array([_pack(gaps)], pa.binary()), "b": pa.array([_pack(b[own])], pa.binary()), "t": pa.array([_pack(t[own])], pa.binary()),
+                })
+
         for batch in pieces(batches):
-            target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            word, before, slot, first = coder.pairs(batch.column("text"))
-            of = np.repeat(target, np.diff(first))
-            for kind in (0, 1):
-                mine = of == bool(kind)
-                sums[kind, : coder.slots] += np.bincount(slot[mine], minlength=coder.slots)
-                sums[kind, coder.slots : coder.slots + n] += np.bincount(word[mine], minlength=n)
-                sums[kind, coder.slots + n :] += np.bincount(before[mine], minlength=n)
-        at = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(at, pa.int64()), "b": pa.array(sums[0, at]), "t": pa.array(sums[1, at])})
+            of = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+                if of[a] != block:
+                    yield from done()
+                    block, counts = int(of[a]), Counts()
+                part = batch.slice(a, z - a)
+                *cells, first = sent.value.cells(part.column("text"))
+                target = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
+                for c in cells:
+                    counts.add(c, target)
+        yield from done()
 
     return run
 
 
+def _summed(slices: pa.Table) -> pa.Table:
+    """Sum the cells of a hash range over all blocks; slices that want it get the sums in the order of their cells."""
+    cells = [np.cumsum(_unpack(c.as_py(), np.uint64), dtype=np.uint64) for c in slices.column("cells")]
+    known, at = np.unique(np.concatenate(cells), return_inverse=True)
+    ends = np.cumsum([len(c) for c in cells])
+    want = slices.column("want").to_numpy()
+    out = {}
+    for side in ("b", "t"):
+        sums = np.bincount(at, np.concatenate([_unpack(n.as_py()) for n in slices.column(side)]), len(known)).astype(np.int64)
+        out[side] = pa.array([_pack(own) for own, w in zip(np.split(sums[at], ends[:-1]), want, strict=True) if w], pa.binary())
+    return slices.filter(pa.array(want)).select(["bucket", "block"]).append_column("b", out["b"]).append_column("t", out["t"])
+
+
 class Models:
-    """Loss of both models from hashed bigram counts, word counts and counts of preceding words."""
+    """What both models count: the fitted documents in blocks, and how many words each side has."""
 
-    def __init__(self, coder: Coder, cells: np.ndarray, counts: np.ndarray):
-        n = coder.unknown + 2
-        dense = np.zeros((2, coder.slots + 2 * n), np.float32)
-        dense[:, cells] = counts
-        self.pair, self.word, self.before = dense[:, : coder.slots], dense[:, coder.slots : coder.slots + n], dense[:, coder.slots + n :]
-        self.coder, self.total = coder, self.word.sum(axis=1, dtype=np.float64)
+    def __init__(self, coder: Coder, documents: DataFrame, blocks: DataFrame, total: tuple[int, int]):
+        self.coder, self.documents, self.blocks, self.total = coder, documents, blocks, total
 
-    def losses(self, kind: int, word: np.ndarray, before: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        two, one, flat_ = WEIGHTS
-        seen = self.before[kind, before].astype(np.float64)
-        pair = np.minimum(self.pair[kind, slot], seen) / np.maximum(seen, 1)
-        single = self.word[kind, word] / max(self.total[kind], 1.0)
-        return -np.log(two * pair + one * single + flat_ / (self.coder.unknown + 1))
 
+def fit(documents: DataFrame, labels: DataFrame, vocabulary_size: int | None = None, slots: int | None = None) -> Models:
+    """labels: doc_id and quality, 1 marks the target; every document so labelled counts there.
 
-def fit(documents: DataFrame, labels: DataFrame, vocabulary_size: int = VOCABULARY, slots: int = SLOTS) -> Models:
-    """labels: doc_id and quality, 1 marks the target; every document so labelled counts there. What reaches the driver is at most slots + 2 V rows."""
-    context = documents.sparkSession.sparkContext
+    Only a vocabulary of a given size reaches the driver: the most frequent words, of equally frequent ones those of smaller hash.
+    """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    coder = Coder(vocabulary(documents, vocabulary_size), slots)
     rows = lookup_join(documents.select("doc_id", "text"), good, "doc_id", ["doc_id", "text"])
-    rows = rows.select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    sums = rows.mapInArrow(_count_pairs(context.broadcast(coder)), "cell bigint, b bigint, t bigint")
-    counted = sums.groupBy("cell").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-    cells, background, target = collect_arrays(counted, {"cell": np.int64, "b": np.float32, "t": np.float32})
-    return Models(coder, cells, np.stack([background, target]))
+    blocks = blocked(rows.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target")))
+    counts = blocks.select("text", "target").mapInArrow(_words, "word bigint, b bigint, t bigint").groupBy("word").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+    if vocabulary_size is not None:
+        counts = settle(counts)
+    known, *total = counts.agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
+    words = None
+    if vocabulary_size is not None:
+        top = counts.orderBy(F.desc(F.col("b") + F.col("t")), "word").limit(vocabulary_size).select("word").collect()
+        words = np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
+        known = len(words)
+    return Models(Coder(words, known, slots), documents, blocks, tuple(total))
+
+
+def _losses(sent, total: tuple[int, int]):
+    """Score the documents of a block with the sums returned to it."""
+
+    def loss(side: int, sums: np.ndarray, at: list[np.ndarray], known: int) -> np.ndarray:
+        two, one, flat_ = WEIGHTS
+        pair, word, before = (sums[k].astype(np.float64) for k in at)
+        return -np.log(two * np.minimum(pair, before) / np.maximum(before, 1) + one * word / max(total[side], 1) + flat_ / (known + 1))
 
+    def run(documents: pa.Table, back: pa.Table) -> pa.Table:
+        coder = sent.value
+        back = back.sort_by("bucket")
+        sums = [np.concatenate([np.zeros(0, np.int64), *(_unpack(n.as_py()) for n in back.column(side))]) for side in ("b", "t")]
+        parts = list(pieces(documents.combine_chunks().to_batches()))
+        own = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(c) for p in parts for c in coder.cells(p.column("text"))[:3])]))
+        out = []
+        for part in parts:
+            *cells, first = coder.cells(part.column("text"))
+            n = np.diff(first)
+            of, at = np.repeat(np.arange(len(n)), n), [np.searchsorted(own, c) for c in cells]
+            b, t = (np.bincount(of, loss(k, sums[k], at, coder.unknown), len(n)) / np.maximum(n, 1) for k in (0, 1))
+            out.append(pa.RecordBatch.from_pydict({
+                "doc_id": part.column("doc_id"), "n_words": pa.array(n, pa.int64()), "target_loss": pa.array(t), "background_loss": pa.array(b), "score": pa.array(t - b),
+            }))
+        return pa.Table.from_batches(out)
 
-def score(documents: DataFrame, models: Models) -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss and score, their difference; means over the words."""
-    sent = documents.sparkSession.sparkContext.broadcast(models)
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = sent.value
-        for batch in pieces(batches):
-            word, before, slot, first = both.coder.pairs(batch.column("text"))
-            n = np.diff(first)
-            of = np.repeat(np.arange(len(n)), n)
-            loss = [np.bincount(of, both.losses(k, word, before, slot), len(n)) / np.maximum(n, 1) for k in (0, 1)]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_words": pa.array(n, pa.int64()), "target_loss": pa.array(loss[1]),
-                "background_loss": pa.array(loss[0]), "score": pa.array(loss[1] - loss[0]),
-            })
 
+def score(documents: DataFrame, models: Models) -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss and score, their difference; means over the words.
+
+    Documents that are not those of the fit only ask for sums and add nothing to them.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(models.coder)
+    buckets = sum(models.total) // BUCKET_CELLS + 1
+    same = documents is models.documents
+    asked = models.blocks if same else blocked(documents.select("doc_id", "text", F.lit(False).alias("target")))
+    sliced = lambda rows, want, counted: rows.select("text", "target", "block").mapInArrow(_slices(sent, buckets, want, counted), SLICE)
+    slices = sliced(models.blocks, same, True)
+    if not same:
+        slices = slices.unionAll(sliced(asked, True, False))
+    back = slices.groupBy("bucket").applyInArrow(_summed, "bucket bigint, block bigint, b binary, t binary")
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words bigint, target_loss double, background_loss double, score double")
+    found = asked.select("doc_id", "text", "block").groupBy("block").cogroup(back.groupBy("block"))
+    return found.applyInArrow(_losses(sent, models.total), f"doc_id {kind}, n_words bigint, target_loss double, background_loss double, score double")
 
 
 def digest(documents: DataFrame, labels: DataFrame) -> DataFrame:

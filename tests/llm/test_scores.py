@@ -91,6 +91,40 @@ def test_every_good_document_is_target(spark):
         assert np.allclose([found[k][name] for k in range(40)], brute_losses(texts, set(range(40)), kind, models.coder), atol=1e-5)
 
 
+def test_bigrams_and_words_are_counted_exactly(spark, monkeypatch):
+    """More distinct words than 65,536 and more distinct bigrams than cells; several blocks and hash ranges; other documents."""
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 100_000)
+    monkeypatch.setattr(lm_score, "BUCKET_CELLS", 50_000)
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randint(0, 300_000)}" for _ in range(2000)) for _ in range(60)] + sentences(6, 40, "ab")
+    good = set(range(0, 60, 2)) | set(range(60, 80))
+    labels = spark.createDataFrame([(k, 1) for k in good], "doc_id long, quality int")
+    models = lm_score.fit(documents(spark, texts), labels)
+
+    def plain(asked):
+        coded = [t.split() for t in texts]
+        words, before, pairs = ([{}, {}] for _ in range(3))
+        for k, w in enumerate(coded):
+            side = int(k in good)
+            for a, b in zip(["", *w], w, strict=False):
+                for held, key in ((words, b), (before, a), (pairs, (a, b))):
+                    held[side][key] = held[side].get(key, 0) + 1
+        known = len(words[0].keys() | words[1].keys())
+        assert known > 70_000
+        for side in (0, 1):
+            total = sum(words[side].values())
+            yield [
+                float(np.mean([-np.log(0.6 * pairs[side].get((a, b), 0) / max(before[side].get(a, 0), 1) + 0.35 * words[side].get(b, 0) / total + 0.05 / (known + 1)) for a, b in zip(["", *w], w, strict=False)]))
+                for w in map(str.split, asked)
+            ]
+
+    for asked in (texts, [*texts[50:70], "w1 w2 neverseen w3"]):
+        docs = models.documents if asked is texts else documents(spark, asked)
+        found = by_id(lm_score.score(docs, models))
+        for name, want in zip(("background_loss", "target_loss"), plain(asked), strict=True):
+            assert np.allclose([found[k][name] for k in range(len(asked))], want, atol=1e-9)
+
+
 def toxic_case(spark):
     r = random.Random(8)
     clean, texts, toxic = sentences(3, 700, "abcdefgh"), [], []

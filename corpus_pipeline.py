@@ -2,7 +2,7 @@
 
 1. Language identification: documents without a recognisable language go.
 2. Line deduplication: lines that stand in ten or more documents go; the text is put together from the others.
-3. Jaccard join: of each component of near duplicates the document with the least id stays.
+3. Jaccard join: of each component of near duplicates (five-word shingles, a similarity of 0.8 or more) the document with the least id stays.
 4. Benchmark decontamination: contaminated documents go.
 5. Temperature mixing: the documents left are drawn into a mixture (doc_id, source, epoch, start, n_tokens).
 
@@ -22,6 +22,8 @@ from tagloom.llm.common import table
 
 #: Documents whose best language is less likely than this are rejected.
 LEAST_SCORE = 0.4
+#: Near duplicates share so much of their five-word shingles.
+NEAR = prefix_tree.Likeness(5, 4, 5)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return prefix_tree.one_of_each(docs)
+    return prefix_tree.one_of_each(docs, NEAR)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Jaccard join of n-gram sets with prefix trees.
 
-A document's set are the hashes of its distinct 3-word shingles, in one global order (that of the hashes). Equal sets are one
-class from the start. Two sets with a Jaccard similarity of 0.9 or more differ in few elements, so when the hash range is cut
-into one part more than they may differ in, at least one part holds the same elements in both. The number of parts depends on
-the size level; levels are so wide that linked sets are at most one level apart, and every set is cut for its own level and
-the next. Sets that agree in some part are candidates; nothing that links is missed.
+A document's set are the hashes of its distinct word shingles, in one global order (that of the hashes). Shingle length and least
+similarity are a ``Likeness``, by default 3 words and 0.9. Equal sets are one class from the start. Two sets of the least Jaccard
+similarity differ in few elements, so when the hash range is cut into one part more than they may differ in, at least one part
+holds the same elements in both. The number of parts depends on the size level; levels are so wide that linked sets are at most
+one level apart, and every set is cut for its own level and the next. Where low similarities make parts small, there are spare
+parts: as many more agree, so a set with no more empty parts than that need not be found by them. Sets that agree in some part
+are candidates; nothing that links is missed.
 
 Candidates form groups: the connected pieces of the agreement graph, or, where such a piece is very large (WHOLE blocks), the
 sets that agree in one part; a group beyond BLOCK sets is cut into blocks and every pair of blocks is a group. A group's sets
@@ -12,14 +14,16 @@ are stored in a path-compressed trie. A set is looked up by a walk that shares t
 subtree when the remaining lengths cannot reach the needed overlap. Sets of a component with more than half of a group need not
 be looked up, since all others are. What comes out are links that span the components, so no group emits all its pairs.
 
-Null and wordless texts have no set and are a component of their own; so is a row with a null id. Fewer than three words are
-one shingle. Repeated rows and equal texts share a component. Only doc_id and text are read.
+Null and wordless texts have no set and are a component of their own; so is a row with a null id. Fewer words than a shingle has
+are one shingle. Repeated rows and equal texts share a component. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,6 @@ from tagloom.functions.scale import settle
 from tagloom.llm.common import byte_class, flat, mix, pieces, word_hashes
 from tagloom.llm.components import connected_components
 
-NGRAM = 3
 #: Sets of one trie, and how many tries' worth of sets of one connected piece meet as such.
 BLOCK = 2000
 WHOLE = 16
@@ -39,35 +42,52 @@ WORD_BYTES = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 CHUNK = 64
 
 
-@lru_cache(1)
-def levels() -> np.ndarray:
-    """Where size levels begin: each reaches to 10/9 of its first size, so linked sizes are at most one level apart."""
+class Likeness(NamedTuple):
+    """Words of a shingle, and the least Jaccard similarity as a fraction."""
+
+    ngram: int = 3
+    over: int = 9
+    under: int = 10
+
+
+CONTRACT = Likeness()
+
+
+@lru_cache(4)
+def levels(like: Likeness = CONTRACT) -> np.ndarray:
+    """Where size levels begin: each reaches to 1 / similarity of its first size, so linked sizes are at most one level apart."""
     out = [1]
     while out[-1] < 1 << 40:
-        out.append(out[-1] * 10 // 9 + 1)
+        out.append(out[-1] * like.under // like.over + 1)
     return np.array(out)
 
 
 @lru_cache(4096)
-def parts(level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Inner borders of the hash range at a level, and a number for each part."""
-    most = 2 * (int(levels()[level + 1]) - 1) // 19
-    n = most + 1
+def parts(level: int, like: Likeness = CONTRACT) -> tuple[np.ndarray, np.ndarray, int]:
+    """Inner borders of the hash range at a level, a number for each part, and how many parts are spare."""
+    _, p, q = like
+    most = 2 * (int(levels(like)[level + 1]) - 1) * (q - p) // (p + q)
+    spare = int(4 * most * math.exp(-(p + q) / (2 * (q - p)) * (p / q) ** 2))
+    n = most + 1 + spare
     borders = np.array([(j << 64) // n for j in range(1, n)], np.uint64)
-    return borders, mix(np.arange(n, dtype=np.uint64) + np.uint64((level + 1) << 40))
+    return borders, mix(np.arange(n, dtype=np.uint64) + np.uint64((level + 1) << 40)), spare
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, ngram: int = CONTRACT.ngram) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     _, _, w, first = word_hashes(*flat(texts), WORD_BYTES)
-    if len(w) >= NGRAM:
-        s = mix(mix(w[:-2] * np.uint64(0x9E3779B97F4A7C15) + w[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + w[2:])
+    if len(w) >= ngram:
+        s = w[: len(w) - ngram + 1]
+        for k in range(1, ngram):
+            s = mix(s * np.uint64((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)[(k - 1) % 2]) + w[k : len(w) - ngram + 1 + k])
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if b - a >= NGRAM:
-            out.append(np.unique(s[a : b - 2]))
+        if b - a >= ngram:
+            out.append(np.unique(s[a : b - ngram + 1]))
         elif b > a:
-            short = w[a : a + 1] if b - a == 1 else mix(w[a : a + 1]) + w[b - 1 : b]
+            short = w[a : a + 1]
+            for k in range(a + 1, b):
+                short = mix(short) + w[k : k + 1]
             out.append(mix(short + np.uint64(b - a)))
         else:
             out.append(np.zeros(0, np.uint64))
@@ -79,23 +99,24 @@ def class_of(tokens: np.ndarray) -> int:
     return int((mix(mix(tokens) + np.uint64(3)).sum(dtype=np.uint64) + np.uint64(len(tokens))).view(np.int64))
 
 
-def signatures(tokens: np.ndarray) -> np.ndarray:
+def signatures(tokens: np.ndarray, like: Likeness = CONTRACT) -> np.ndarray:
     """One number for each part of the set at its level and the next; sets of one part need none, they are equal or apart."""
-    level = int(np.searchsorted(levels(), len(tokens), side="right")) - 1
+    level = int(np.searchsorted(levels(like), len(tokens), side="right")) - 1
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens), dtype=np.uint64)])
     out = []
     for at in (level, level + 1):
-        borders, numbers = parts(at)
+        borders, numbers, spare = parts(at, like)
         if len(borders):
             cuts = np.concatenate([[0], np.searchsorted(tokens, borders), [len(tokens)]])
-            out.append(mix(np.diff(sums[cuts]) ^ numbers))
+            marks, empty = mix(np.diff(sums[cuts]) ^ numbers), np.diff(cuts) == 0
+            out.append(marks[~empty] if empty.sum() <= spare else marks)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
-        sets = shingle_sets(batch.column("text"))
-        marks = [signatures(s) if len(s) else np.zeros(0, np.uint64) for s in sets]
+        sets = shingle_sets(batch.column("text"), like.ngram)
+        marks = [signatures(s, like) if len(s) else np.zeros(0, np.uint64) for s in sets]
         ends = np.cumsum([0, *map(len, marks)])
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
@@ -104,9 +125,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _elements(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
-        found = [(want, s) for want, s in zip(batch.column("set").to_pylist(), shingle_sets(batch.column("text")), strict=True) if len(s) and class_of(s) == want]
+        found = [(want, s) for want, s in zip(batch.column("set").to_pylist(), shingle_sets(batch.column("text"), like.ngram), strict=True) if len(s) and class_of(s) == want]
         yield pa.RecordBatch.from_pydict({"set": pa.array([w for w, _ in found], pa.int64()), "elements": pa.array([s.tobytes() for _, s in found], pa.binary())})
 
 
@@ -117,7 +138,8 @@ class Trie:
     children (one after the other) and its members, the sets that end there.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], like: Likeness = CONTRACT):
+        self.over, self.both = like.over, like.over + like.under
         order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
         sizes = np.array([len(sets[k]) for k in order])
         todo, rows, members, edges, at_edge = [(0, len(order), 0, 0)], [], [], [], 0
@@ -156,7 +178,7 @@ class Trie:
         self.inside = np.zeros(len(known), bool)
 
     def linked(self, k: int) -> np.ndarray:
-        """The sets with a Jaccard similarity of 0.9 or more to set ``k``, itself included.
+        """The sets with the least Jaccard similarity or more to set ``k``, itself included.
 
         All branches are walked together, one edge at a time: what was shared along a prefix goes on to its children, and
         branches whose remaining lengths cannot reach the needed overlap end.
@@ -174,9 +196,9 @@ class Trie:
             depth = self.depth[front] + n
             rest = s - np.where(n > 0, np.searchsorted(x, self.tokens[np.maximum(a + n - 1, 0)], side="right") if len(self.tokens) else 0, 0)
             best = np.clip(depth + rest, self.low[front], self.high[front])
-            alive = 19 * (shared + np.minimum(rest, best - depth)) >= 9 * (s + best)
+            alive = self.both * (shared + np.minimum(rest, best - depth)) >= self.over * (s + best)
             front, shared, depth = front[alive], shared[alive], depth[alive]
-            ends = (self.member_end[front] > self.member[front]) & (19 * shared >= 9 * (s + depth))
+            ends = (self.member_end[front] > self.member[front]) & (self.both * shared >= self.over * (s + depth))
             found += [self.members[self.member[f] : self.member_end[f]] for f in front[ends]]
             number = self.child_end[front] - self.child[front]
             off = np.cumsum(number) - number
@@ -203,9 +225,9 @@ class Forest:
             self.size[b] += self.size[a]
 
 
-def links(sets: list[np.ndarray], block: list[int] | None = None) -> Forest:
-    """Components of the sets under Jaccard >= 0.9; with ``block``, only pairs from different blocks are compared."""
-    trie, forest = Trie(sets), Forest(len(sets))
+def links(sets: list[np.ndarray], block: list[int] | None = None, like: Likeness = CONTRACT) -> Forest:
+    """Components of the sets under the least similarity; with ``block``, only pairs from different blocks are compared."""
+    trie, forest = Trie(sets, like), Forest(len(sets))
     for k in range(len(sets)):
         if 2 * forest.size[forest.find(k)] > len(sets):
             continue
@@ -215,12 +237,12 @@ def links(sets: list[np.ndarray], block: list[int] | None = None) -> Forest:
     return forest
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; each set is told the least set it is linked to within the group."""
     key, names, sets, of = None, [], [], []
 
     def done() -> pa.RecordBatch:
-        forest = links(sets, of if key[1] != key[2] else None)
+        forest = links(sets, of if key[1] != key[2] else None, like)
         least: dict[int, int] = {}
         for k, name in enumerate(names):
             r = forest.find(k)
@@ -258,19 +280,19 @@ def _groups(hits: DataFrame, block: int) -> DataFrame:
     return cells.select("route", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "own")
 
 
-def jaccard_components(documents: DataFrame, block: int = BLOCK) -> DataFrame:
+def jaccard_components(documents: DataFrame, block: int = BLOCK, like: Likeness = CONTRACT) -> DataFrame:
     """doc_id, n_shingles and component_id, the least id that links reach."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", "text")
-    sketch = settle(rows.mapInArrow(_sketch, f"doc_id {kind}, n_shingles bigint, set bigint, marks array<bigint>"))
+    sketch = settle(rows.mapInArrow(partial(_sketch, like), f"doc_id {kind}, n_shingles bigint, set bigint, marks array<bigint>"))
     marks = sketch.filter("set IS NOT NULL").select("set", F.explode("marks").alias("mark"))
     shared = marks.groupBy("mark").agg(F.min("set").alias("least"), F.max("set").alias("most")).filter("least <> most").drop("most")
     hits = settle(marks.join(shared, "mark").distinct())
     groups = settle(_groups(hits, block))
     wanted = groups.select("set").distinct().join(sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("doc_id")), "set")
-    elements = rows.join(wanted, "doc_id").select("set", "text").mapInArrow(_elements, "set bigint, elements binary")
+    elements = rows.join(wanted, "doc_id").select("set", "text").mapInArrow(partial(_elements, like), "set bigint, elements binary")
     met = groups.join(elements.dropDuplicates(["set"]), "set").repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")
-    found = met.select("route", "i", "j", "set", "own", "elements").mapInArrow(_linked, "a bigint, b bigint")
+    found = met.select("route", "i", "j", "set", "own", "elements").mapInArrow(partial(_linked, like), "a bigint, b bigint")
     linked = connected_components(found).withColumnsRenamed({"node": "set"})
     first = sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("first")).join(linked, "set", "left")
     classes = first.select("set", "first", F.coalesce("root", "set").alias("class"))
@@ -281,9 +303,9 @@ def jaccard_components(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     return known.join(of_set, "set", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
     """The document of the least id of each component, with all columns; ids must be unique and not null."""
-    kept = jaccard_components(documents).filter("doc_id = component_id").select("doc_id")
+    kept = jaccard_components(documents, like=like).filter("doc_id = component_id").select("doc_id")
     return documents.join(kept, "doc_id", "left_semi")
 
 

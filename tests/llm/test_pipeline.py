@@ -40,3 +40,12 @@ def test_stages(spark, tmp_path):
         else:
             assert {r["doc_id"] for r in rows} <= set(ids) and rows
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == sorted(map(tuple, rows))
+
+
+def test_near_documents_share_five_word_shingles(spark, tmp_path):
+    words = [f"w{k}" for k in range(200)]
+    near = [f"x{k}" if k in (20, 70, 120, 170) else w for k, w in enumerate(words)]
+    far = [f"y{k}" if k in (15, 55, 95, 135, 175) else w for k, w in enumerate(words)]
+    docs = documents(spark, [" ".join(t) for t in (words, near, far)])
+    kept = {r["doc_id"] for r in corpus_pipeline.distinct_documents(spark, docs, str(tmp_path)).collect()}
+    assert kept == {0, 2}  # 176 of 216 shingles, and 171 of 221

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tagloom.llm import prefix_tree
@@ -85,3 +86,19 @@ def test_linked_sets_agree_in_a_part():
         both = len(np.intersect1d(a, b))
         if len(a) and len(b) and 19 * both >= 9 * (len(a) + len(b)) and not np.array_equal(a, b):
             assert set(prefix_tree.signatures(a).tolist()) & set(prefix_tree.signatures(b).tolist())
+
+
+def test_other_lengths_and_similarities_equal_brute_force(spark):
+    for like in (prefix_tree.Likeness(5, 4, 5), prefix_tree.Likeness(1, 1, 2)):
+        texts = corpus(31)
+        sets = [prefix_tree.shingle_sets(pa.array([t], pa.string()), like.ngram)[0] for t in texts]
+        up = list(range(len(texts)))
+        for a in range(len(texts)):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if len(sets[a]) and len(sets[b]) and both * like.under >= like.over * (len(sets[a]) + len(sets[b]) - both):
+                    old, new = max(up[a], up[b]), min(up[a], up[b])
+                    up = [new if u == old else u for u in up]
+        found = by_id(prefix_tree.jaccard_components(documents(spark, texts), like=like))
+        assert [found[k]["component_id"] for k in range(len(texts))] == up
+        assert max(np.bincount(up)) > 5

@@ -31,7 +31,7 @@ def by_sentence(sentences: DataFrame) -> DataFrame:
 
 
 def _bytes(field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.StringType):
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         size = F.octet_length(field.name)
     elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
         size = F.octet_length(F.array_join(field.name, " "))

@@ -79,10 +79,10 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWERED[data]
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, ends: np.ndarray, is_word: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of flat texts: first bytes, ends, 64-bit hashes, and the first word of each text.
 
-    ``is_word`` says of each byte value whether it belongs to words. A-Z count as a-z. Words never cross texts.
+    ``is_word`` says of each byte value whether it belongs to words. With ``fold``, A-Z count as a-z. Words never cross texts.
     """
     at = np.flatnonzero(is_word[data])
     if not len(at):
@@ -97,7 +97,7 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, is_word: np.ndarray) -> tupl
     starts = at[first]
     stops = np.append(at[first[1:] - 1], at[-1]) + 1
     within = at - np.repeat(starts, np.diff(np.append(first, len(at))))
-    terms = _BYTE[_LOWERED[data[at]]] * _power(int(within.max()) + 1)[within]
+    terms = _BYTE[_LOWERED[data[at]] if fold else data[at]] * _power(int(within.max()) + 1)[within]
     return starts, stops, mix(np.add.reduceat(terms, first)), np.searchsorted(starts, ends)
 
 

@@ -17,4 +17,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_numbers_are_complete():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14)) and "pipeline" in entry.queries()

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.functions.arrays import let
 from tagloom.functions.scale import lookup_join
 from tagloom.llm.common import byte_class, flat, mix, pieces, word_hashes
 
@@ -290,7 +291,8 @@ def summary(documents: DataFrame, tile: int = TILE, spread: int = SPREAD) -> Dat
 def with_planted_runs(documents: DataFrame) -> DataFrame:
     """The documents whose id hashes to a multiple of ten get a period from some word on, which depends on the hash; other texts stay."""
     text = F.coalesce("text", F.lit(""))
-    words = F.filter(F.split(text, BLANKS, -1), lambda w: w != "")
+    chosen = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(10)) == 0
+    words = F.when(chosen, F.filter(F.split(text, BLANKS, -1), lambda w: w != "")).otherwise(F.array().cast("array<string>"))
 
     def planted(w: Column) -> Column:
         h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -298,9 +300,9 @@ def with_planted_runs(documents: DataFrame) -> DataFrame:
         a = F.pmod(g, F.greatest(n, F.lit(1)))
         p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8)))).cast("long")
         repeated = F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + F.pmod(i - a, p)).cast("int"))))
-        return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+        return F.when(n > 0, F.array_join(repeated, " ")).otherwise(text)
 
-    return documents.withColumn("text", planted(words))
+    return documents.withColumn("text", let(words, planted))
 
 
 def digest(documents: DataFrame) -> DataFrame:

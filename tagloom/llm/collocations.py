@@ -37,7 +37,9 @@ LEAST = 100
 #: A phrase goes when a longer one with it inside has so many hundredths of its count.
 COVERED = 100
 TOP = 2000
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 20
+#: Bytes of text whose words are laid out at once.
+READ_BYTES = 1 << 20
 BREAK_BYTES = byte_class((0x0A, 0x0D)) | np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 WORD_BYTES = ~(BREAK_BYTES | byte_class((0x20, 0x20), (0x09, 0x09)))
 
@@ -88,7 +90,7 @@ def _read(block_words: int, longest: int):
                 "code": pa.array(np.arange(len(names), dtype=np.int32)), "lang": pa.array(lang, pa.string()), "word": pa.array(word, pa.string()), "n": pa.array(n, pa.int64()),
             })
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=READ_BYTES):
             data, ends = flat(batch.column("text"))
             starts, stops, words, first = word_hashes(data, ends, WORD_BYTES)
             if not len(words):
@@ -164,6 +166,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(here):
                 continue
             at, pair = at[here], item[here] * len(code) + item[here + 1]
+            del here
             pairs, item = np.unique(pair, return_inverse=True)
             own = row["own"].as_py()
             n = np.bincount(item[at < own], minlength=len(pairs))

@@ -6,8 +6,9 @@ about BLOCK_WORDS words, sorted, so that pieces are told apart by a gap between
 1. Words are counted for each block and language, then in all; those that reach the least count are semi-joined back.
 2. The relation of length k + 1 is the merge-join of that of length k with itself, by piece and adjacent position: a phrase may only
    be frequent where its first and its last k words are. Phrases, named by the numbers of these two, are counted in the block,
-   then grouped and counted in all; frequent groups get a number, are semi-joined to the blocks' groups (measured: broadcast, or
-   shuffled with heavy ones salted) and come back to a block as a list of what it holds. The next step drops all other occurrences.
+   then grouped and counted in all; frequent groups get a number and are semi-joined to the relation before it is extended: up to
+   SENT_BYTES by measure they are broadcast; beyond it they meet the blocks' groups in a shuffle, heavy ones salted, and come
+   back to a block as a list of what it holds.
 3. A frequent phrase carries the counts of all its beginnings and ends, so every cut is scored without another join. A phrase is
    covered if one that is longer by a word occurs as often; then so does any longer one, as counts only fall with length.
 
@@ -40,35 +41,34 @@ TOP = 2000
 BLOCK_WORDS = 1 << 20
 #: Bytes of text whose words are laid out at once.
 READ_BYTES = 1 << 20
+#: Frequent groups of one length that are broadcast.
+SENT_BYTES = 32 << 20
 BREAK_BYTES = byte_class((0x0A, 0x0D)) | np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 WORD_BYTES = ~(BREAK_BYTES | byte_class((0x20, 0x20), (0x09, 0x09)))
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, compressed byte by byte."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    """64-bit numbers, compressed byte by byte."""
+    return zstandard.compress(np.ascontiguousarray(numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view(np.int32)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(np.int64)
 
 
-#: A block's relation (positions as gaps, codes, where its own words end) in one row, its groups in others.
-WORDS = "block bigint, own int, at binary, item binary, code int, lang string, word string, n bigint"
-GROUPS = "block bigint, own int, at binary, item binary, code int, first bigint, last bigint, n bigint"
+#: A block's relation: where its own words end, positions (as gaps) and codes; of phrases also, by code, the groups and their counts.
+RELATION = "block bigint, own bigint, at binary, item binary"
+#: A block's single words come as rows of the same table.
+WORDS = f"{RELATION}, code bigint, lang string, word string, n bigint"
+GROUPS = f"{RELATION}, first binary, last binary, n binary"
 
 
-def _rows(block: int, own: int, at: np.ndarray, item: np.ndarray, groups: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
-    """A relation and its groups as rows of one table."""
-    head = {"block": [block], "own": [own], "at": [_pack(np.diff(at, prepend=0))], "item": [_pack(item)]}
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
-    n = len(groups["code"])
-    for here, rest in ((True, 1), (False, n)):
-        cols = {c: pa.array(v, k) if here else pa.nulls(rest, k) for (c, v), k in zip(head.items(), kinds, strict=True)}
-        if not here:
-            cols["block"] = pa.array(np.full(n, block, np.int64))
-        yield pa.RecordBatch.from_pydict(cols | {c: pa.nulls(1, v.type) if here else v for c, v in groups.items()})
+def _relation(block: int, own: int, at: np.ndarray, item: np.ndarray) -> dict[str, pa.Array]:
+    return {
+        "block": pa.array([block], pa.int64()), "own": pa.array([own], pa.int64()),
+        "at": pa.array([_pack(np.diff(at, prepend=0))], pa.binary()), "item": pa.array([_pack(item)], pa.binary()),
+    }
 
 
 def _read(block_words: int, longest: int):
@@ -86,9 +86,10 @@ def _read(block_words: int, longest: int):
             n = np.bincount(item[:own], minlength=len(names))
             lang, word = zip(*(known[x] for x in names.tolist()), strict=True)
             limit = int(at[own - 1]) + 1
-            yield from _rows(block, limit, at, item, {
-                "code": pa.array(np.arange(len(names), dtype=np.int32)), "lang": pa.array(lang, pa.string()), "word": pa.array(word, pa.string()), "n": pa.array(n, pa.int64()),
-            })
+            words = {"code": pa.array(np.arange(len(names))), "lang": pa.array(lang, pa.string()), "word": pa.array(word, pa.string()), "n": pa.array(n, pa.int64())}
+            yield pa.RecordBatch.from_pydict(_relation(block, limit, at, item) | {c: pa.nulls(1, v.type) for c, v in words.items()})
+            none = {"own": pa.int64(), "at": pa.binary(), "item": pa.binary()}
+            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(names), block))} | {c: pa.nulls(len(names), k) for c, k in none.items()} | words)
 
         for batch in pieces(batches, limit=READ_BYTES):
             data, ends = flat(batch.column("text"))
@@ -148,49 +149,89 @@ def _shifted(held: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray
     return out
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop occurrences of infrequent phrases, then merge-join the rest with itself by adjacent position."""
+def _extended(row: dict, code: np.ndarray, number: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Keep the occurrences of the frequent groups (codes and their numbers), then merge-join them with themselves by adjacent position."""
+    at, item = np.cumsum(_unpack(row["at"])), _unpack(row["item"])
+    local = np.full(int(max(item.max(), code.max())) + 1, -1, np.int64)
+    local[code] = np.arange(len(code))
+    item = local[item]
+    at, item = at[item >= 0], item[item >= 0]
+    here = np.flatnonzero(np.diff(at) == 1)
+    if not len(here):
+        return
+    at, pair = at[here], item[here] * len(code) + item[here + 1]
+    pairs, item = np.unique(pair, return_inverse=True)
+    n = np.bincount(item[at < row["own"]], minlength=len(pairs))
+    groups = {"first": number[pairs // len(code)], "last": number[pairs % len(code)], "n": n}
+    yield pa.RecordBatch.from_pydict(_relation(row["block"], row["own"], at, item) | {c: pa.array([_pack(v)], pa.binary()) for c, v in groups.items()})
+
+
+def _extended_by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frequent groups of a block come as a list."""
     for batch in batches:
         for k in range(batch.num_rows):
-            row = {c: batch.column(c)[k] for c in batch.schema.names}
-            kept = row["kept"].values
-            if kept is None or not len(kept):
-                continue
-            code, number = (kept.field(c).to_numpy() for c in ("code", "id"))
-            at, item = np.cumsum(_unpack(row["at"].as_py()).astype(np.int64)), _unpack(row["item"].as_py())
-            local = np.full(int(max(item.max(), code.max())) + 1, -1, np.int64)
-            local[code] = np.arange(len(code))
-            item = local[item]
-            at, item = at[item >= 0], item[item >= 0]
-            here = np.flatnonzero(np.diff(at) == 1)
-            if not len(here):
-                continue
-            at, pair = at[here], item[here] * len(code) + item[here + 1]
-            del here
-            pairs, item = np.unique(pair, return_inverse=True)
-            own = row["own"].as_py()
-            n = np.bincount(item[at < own], minlength=len(pairs))
-            yield from _rows(row["block"].as_py(), own, at, item, {
-                "code": pa.array(np.arange(len(pairs), dtype=np.int32)), "first": pa.array(number[pairs // len(code)]),
-                "last": pa.array(number[pairs % len(code)]), "n": pa.array(n, pa.int64()),
-            })
-
-
-def _frequent(table: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Groups with the least count in all blocks together, numbered."""
-    counts = sum_counts(table.filter("code IS NOT NULL"), keys, ["n"])
-    return settle(counts.filter(F.col("n") >= least).withColumn("id", F.monotonically_increasing_id()))
-
-
-def _semi_joined(table: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
-    """The blocks' relations, each with the codes of its frequent groups and their numbers."""
-    groups = table.filter("code IS NOT NULL").select("block", "code", *keys)
-    kept = lookup_join(groups, frequent.select(*keys, "id"), keys, ["block", "code"], "inner")
+            kept = batch.column("kept")[k].values
+            yield from _extended({c: batch.column(c)[k].as_py() for c in ("block", "own", "at", "item")}, *(kept.field(c).to_numpy() for c in ("code", "id")))
+
+
+def _extended_by_table(sent):
+    """The frequent groups of all blocks are broadcast, sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, numbers, width = sent.value
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                own = _unpack(row["first"]) * width + _unpack(row["last"])
+                near = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
+                code = np.flatnonzero(pairs[near] == own)
+                if len(code):
+                    yield from _extended(row, code, numbers[near[code]])
+
+    return run
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The groups of each block as rows."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            first, last, n = (_unpack(batch.column(c)[k].as_py()) for c in ("first", "last", "n"))
+            block = np.full(len(n), batch.column("block")[k].as_py())
+            yield pa.RecordBatch.from_pydict({"block": block, "code": np.arange(len(n)), "first": first, "last": last, "n": n})
+
+
+def _frequent(groups: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, int]:
+    """Groups with the least count in all blocks together, numbered from 0, and how many they are."""
+    counts = sum_counts(groups, keys, ["n"]).filter(F.col("n") >= least)
+    kept = settle(counts.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    sizes = kept.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()
+    firsts = np.cumsum([0, *(r["n"] for r in sizes)]).tolist()
+    # one row per partition
+    table = groups.sparkSession.createDataFrame([(r["_part"], f) for r, f in zip(sizes, firsts[:-1], strict=True)], "_part long, _first long")
+    inside = F.col("_id") - F.shiftleft(part, 33)
+    return kept.withColumn("_part", part).join(F.broadcast(table), "_part").withColumn("id", F.col("_first") + inside).drop("_part", "_first", "_id"), firsts[-1]
+
+
+def _by_list(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
+    """Semi-join in a shuffle: each block gets the codes of its frequent groups and their numbers."""
+    kept = lookup_join(groups.select("block", "code", *keys), frequent.select(*keys, "id"), keys, ["block", "code"], "inner")
     kept = kept.groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("kept"))
-    return table.filter("at IS NOT NULL").select("block", "own", "at", "item").join(kept, "block")
+    return relation.select("block", "own", "at", "item").join(kept, "block").mapInArrow(_extended_by_list, GROUPS)
 
 
-def frequent_phrases(documents: DataFrame, longest: int = LONGEST, least: int = LEAST, block_words: int = BLOCK_WORDS) -> tuple[list[DataFrame], DataFrame]:
+def _by_table(relation: DataFrame, frequent: DataFrame, width: int) -> DataFrame:
+    """Semi-join by a broadcast of all frequent groups; the relation stays where it is."""
+    rows = frequent.select("first", "last", "id").toArrow()
+    pairs = rows.column("first").to_numpy() * width + rows.column("last").to_numpy()
+    order = np.argsort(pairs)
+    sent = relation.sparkSession.sparkContext.broadcast((pairs[order], rows.column("id").to_numpy()[order], width))
+    return relation.mapInArrow(_extended_by_table(sent), GROUPS)
+
+
+def frequent_phrases(
+    documents: DataFrame, longest: int = LONGEST, least: int = LEAST, block_words: int = BLOCK_WORDS, sent_bytes: int = SENT_BYTES
+) -> tuple[list[DataFrame], DataFrame]:
     """Tables of the frequent phrases of 1, 2, ... words, and the number of words of each language.
 
     A table has lang, id, n, phrase, last_word, heads and tails (how often its first and last 1, 2, ... words occur), and from two
@@ -198,14 +239,15 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, least: int =
     """
     rows = documents.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
     table = settle(rows.mapInArrow(_read(block_words, longest), WORDS), "zstd")
-    total = sum_counts(table.filter("code IS NOT NULL"), ["lang"], ["n"])
-    keys = ["lang", "word"]
-    frequent = _frequent(table, keys, least)
+    words, relation = table.filter("code IS NOT NULL"), table.filter("at IS NOT NULL")
+    total = sum_counts(words, ["lang"], ["n"])
+    frequent, many = _frequent(words, ["lang", "word"], least)
     found = [frequent.select("lang", "id", "n", F.col("word").alias("phrase"), F.col("word").alias("last_word"), F.array("n").alias("heads"), F.array("n").alias("tails"))]
-    for _ in range(1, longest):
-        table = settle(_semi_joined(table, frequent, keys).mapInArrow(_extended, GROUPS), "zstd")
-        keys = ["first", "last"]
-        frequent = _frequent(table, keys, least)
+    extended = _by_list(relation, words, frequent, ["lang", "word"])
+    for k in range(2, longest + 1):
+        relation, width = settle(extended), many
+        groups = relation.select("block", "first", "last", "n").mapInArrow(_groups, "block bigint, code bigint, first bigint, last bigint, n bigint")
+        frequent, many = _frequent(groups, ["first", "last"], least)
         before = found[-1]
         first = before.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("begin"), "heads")
         last = before.select(F.col("id").alias("last"), "last_word", "tails")
@@ -214,6 +256,11 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, least: int =
             "lang", "id", "n", "first", "last", F.concat_ws(" ", "begin", "last_word").alias("phrase"), "last_word",
             F.concat("heads", F.array("n")).alias("heads"), F.concat("tails", F.array("n")).alias("tails"),
         )))
+        if k < longest and many:
+            small = 24 * many <= sent_bytes and width < 1 << 31
+            extended = _by_table(relation, frequent, width) if small else _by_list(relation, groups, frequent, ["first", "last"])
+        elif k < longest:
+            extended = relation.limit(0)
     return found, total
 
 
@@ -222,10 +269,11 @@ def _whole(column: str | Column) -> Column:
 
 
 def collocations(
-    documents: DataFrame, longest: int = LONGEST, least: int = LEAST, covered: int = COVERED, top: int = TOP, block_words: int = BLOCK_WORDS
+    documents: DataFrame, longest: int = LONGEST, least: int = LEAST, covered: int = COVERED, top: int = TOP, block_words: int = BLOCK_WORDS,
+    sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's best phrases of two words or more."""
-    found, total = frequent_phrases(documents, longest, least, block_words)
+    found, total = frequent_phrases(documents, longest, least, block_words, sent_bytes)
     scored = None
     for k in range(2, longest + 1):
         own = found[k - 1].select("lang", "id", "phrase", F.col("n").alias("a"), "heads", "tails")

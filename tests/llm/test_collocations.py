@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from tagloom.llm import collocations
 from tests.llm.rows import documents
 
@@ -50,9 +52,10 @@ def test_phrases_equal_plain_counting(spark):
     assert len(found) > 60 and len(found) == len(set(found)) and set(found) == by_hand(rows)
 
 
-def test_blocks_that_cut_texts(spark):
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_blocks_that_cut_texts(spark, sent):
     rows = odd_rows(random.Random(4))
-    found = collocations.collocations(frame(spark, rows), longest=4, least=30, covered=60, top=50, block_words=997)
+    found = collocations.collocations(frame(spark, rows), longest=4, least=30, covered=60, top=50, block_words=997, sent_bytes=sent)
     assert {tuple(r) for r in found.collect()} == by_hand(rows, 4, 30, 60, 50)
 
 

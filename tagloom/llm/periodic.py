@@ -43,7 +43,7 @@ TILE = 8192
 #: Bytes of text from which tiles are dealt over tasks.
 SPREAD = 1 << 20
 #: Words of tiles that are solved together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 WORD_BYTES = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
 

@@ -25,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.functions.scale import lookup_join, settle
+from tagloom.functions.scale import fits_broadcast, lookup_join, settle
 from tagloom.llm.common import byte_class, flat, lowered, mix, pieces, sum_counts, word_hashes
 
 LONGEST = 5
@@ -57,17 +58,19 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(np.int64)
 
 
-#: A block's relation: where its own words end, positions (as gaps) and codes; of phrases also, by code, the groups and their counts.
-RELATION = "block bigint, own bigint, at binary, item binary"
-#: A block's single words come as rows of the same table.
-WORDS = f"{RELATION}, code bigint, lang string, word string, n bigint"
-GROUPS = f"{RELATION}, first binary, last binary, n binary"
+#: A block's relation: where its own words end, positions (as gaps) and codes; and by code the groups and their counts. A single word's
+#: name is its language, a tab and the word, which has no tab.
+RELATION = "block bigint, own bigint, at binary, item binary, n binary"
+WORDS = f"{RELATION}, names array<string>"
+GROUPS = f"{RELATION}, first binary, last binary"
+#: Below so many ids, two are one 64-bit number.
+NARROW = 3_000_000_000
 
 
-def _relation(block: int, own: int, at: np.ndarray, item: np.ndarray) -> dict[str, pa.Array]:
+def _relation(block: int, own: int, at: np.ndarray, item: np.ndarray, n: np.ndarray) -> dict[str, pa.Array]:
     return {
         "block": pa.array([block], pa.int64()), "own": pa.array([own], pa.int64()),
-        "at": pa.array([_pack(np.diff(at, prepend=0))], pa.binary()), "item": pa.array([_pack(item)], pa.binary()),
+        "at": pa.array([_pack(np.diff(at, prepend=0))], pa.binary()), "item": pa.array([_pack(item)], pa.binary()), "n": pa.array([_pack(n)], pa.binary()),
     }
 
 
@@ -77,19 +80,16 @@ def _read(block_words: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        known: dict[int, tuple[str, str]] = {}
+        known: dict[int, str] = {}
         size = 0
 
         def done(own: int) -> Iterator[pa.RecordBatch]:
             at, words = (np.concatenate(x) for x in zip(*held, strict=True))
             names, item = np.unique(words, return_inverse=True)
             n = np.bincount(item[:own], minlength=len(names))
-            lang, word = zip(*(known[x] for x in names.tolist()), strict=True)
             limit = int(at[own - 1]) + 1
-            words = {"code": pa.array(np.arange(len(names))), "lang": pa.array(lang, pa.string()), "word": pa.array(word, pa.string()), "n": pa.array(n, pa.int64())}
-            yield pa.RecordBatch.from_pydict(_relation(block, limit, at, item) | {c: pa.nulls(1, v.type) for c, v in words.items()})
-            none = {"own": pa.int64(), "at": pa.binary(), "item": pa.binary()}
-            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(names), block))} | {c: pa.nulls(len(names), k) for c, k in none.items()} | words)
+            names = pa.array([[known[x] for x in names.tolist()]], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_pydict(_relation(block, limit, at, item, n) | {"names": names})
 
         for batch in pieces(batches, limit=READ_BYTES):
             data, ends = flat(batch.column("text"))
@@ -107,7 +107,7 @@ def _read(block_words: int, longest: int):
             doc = np.searchsorted(first, where, side="right") - 1
             for name, k, d in zip(fresh.tolist(), where.tolist(), doc.tolist(), strict=True):
                 if name not in known:
-                    known[name] = (langs[of_lang[d]], raw[starts[k] : stops[k]].decode())
+                    known[name] = f"{langs[of_lang[d]]}\t{raw[starts[k] : stops[k]].decode()}"
             done_words = 0
             while done_words < len(words):
                 take = min(len(words) - done_words, block_words - size)
@@ -162,8 +162,8 @@ def _extended(row: dict, code: np.ndarray, number: np.ndarray) -> Iterator[pa.Re
     at, pair = at[here], item[here] * len(code) + item[here + 1]
     pairs, item = np.unique(pair, return_inverse=True)
     n = np.bincount(item[at < row["own"]], minlength=len(pairs))
-    groups = {"first": number[pairs // len(code)], "last": number[pairs % len(code)], "n": n}
-    yield pa.RecordBatch.from_pydict(_relation(row["block"], row["own"], at, item) | {c: pa.array([_pack(v)], pa.binary()) for c, v in groups.items()})
+    groups = {"first": number[pairs // len(code)], "last": number[pairs % len(code)]}
+    yield pa.RecordBatch.from_pydict(_relation(row["block"], row["own"], at, item, n) | {c: pa.array([_pack(v)], pa.binary()) for c, v in groups.items()})
 
 
 def _extended_by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,29 +175,49 @@ def _extended_by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def _extended_by_table(sent):
-    """The frequent groups of all blocks are broadcast, sorted."""
+    """The frequent groups of all blocks are broadcast: names with their numbers, or pairs of ids, sorted, and how many ids there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, numbers, width = sent.value
+        groups, numbers, width = sent.value
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
-                own = _unpack(row["first"]) * width + _unpack(row["last"])
-                near = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
-                code = np.flatnonzero(pairs[near] == own)
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names if c != "names"}
+                if width:
+                    own = _unpack(row["first"]) * width + _unpack(row["last"])
+                    near = np.minimum(np.searchsorted(groups, own), len(groups) - 1)
+                    code = np.flatnonzero(groups[near] == own)
+                    number = numbers[near[code]]
+                else:
+                    near = pc.fill_null(pc.index_in(batch.column("names")[k].values, value_set=groups), -1).to_numpy()
+                    code = np.flatnonzero(near >= 0)
+                    number = numbers[near[code]]
                 if len(code):
-                    yield from _extended(row, code, numbers[near[code]])
+                    yield from _extended(row, code, number)
 
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The groups of each block as rows."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each block as rows."""
     for batch in batches:
         for k in range(batch.num_rows):
-            first, last, n = (_unpack(batch.column(c)[k].as_py()) for c in ("first", "last", "n"))
+            n = _unpack(batch.column("n")[k].as_py())
             block = np.full(len(n), batch.column("block")[k].as_py())
-            yield pa.RecordBatch.from_pydict({"block": block, "code": np.arange(len(n)), "first": first, "last": last, "n": n})
+            yield pa.RecordBatch.from_pydict({"block": block, "code": np.arange(len(n)), "name": batch.column("names")[k].values, "n": n})
+
+
+def _groups(width: int | None):
+    """The groups of each block as rows, two ids as one number if there are ``width`` of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                first, last, n = (_unpack(batch.column(c)[k].as_py()) for c in ("first", "last", "n"))
+                block = np.full(len(n), batch.column("block")[k].as_py())
+                ids = {"pair": first * width + last} if width else {"first": first, "last": last}
+                yield pa.RecordBatch.from_pydict({"block": block, "code": np.arange(len(n)), **ids, "n": n})
+
+    return run
 
 
 def _frequent(groups: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, int]:
@@ -220,12 +240,14 @@ def _by_list(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys:
     return relation.select("block", "own", "at", "item").join(kept, "block").mapInArrow(_extended_by_list, GROUPS)
 
 
-def _by_table(relation: DataFrame, frequent: DataFrame, width: int) -> DataFrame:
+def _by_table(relation: DataFrame, frequent: DataFrame, key: str, width: int) -> DataFrame:
     """Semi-join by a broadcast of all frequent groups; the relation stays where it is."""
-    rows = frequent.select("first", "last", "id").toArrow()
-    pairs = rows.column("first").to_numpy() * width + rows.column("last").to_numpy()
-    order = np.argsort(pairs)
-    sent = relation.sparkSession.sparkContext.broadcast((pairs[order], rows.column("id").to_numpy()[order], width))
+    rows = frequent.select(key, "id").toArrow()
+    groups, numbers = rows.column(key).combine_chunks(), rows.column("id").to_numpy()
+    if width:
+        order = np.argsort(groups.to_numpy())
+        groups, numbers = groups.to_numpy()[order], numbers[order]
+    sent = relation.sparkSession.sparkContext.broadcast((groups, numbers, width))
     return relation.mapInArrow(_extended_by_table(sent), GROUPS)
 
 
@@ -238,16 +260,26 @@ def frequent_phrases(
     words on first and last, the ids of its first and last words but one.
     """
     rows = documents.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
-    table = settle(rows.mapInArrow(_read(block_words, longest), WORDS), "zstd")
-    words, relation = table.filter("code IS NOT NULL"), table.filter("at IS NOT NULL")
-    total = sum_counts(words, ["lang"], ["n"])
-    frequent, many = _frequent(words, ["lang", "word"], least)
-    found = [frequent.select("lang", "id", "n", F.col("word").alias("phrase"), F.col("word").alias("last_word"), F.array("n").alias("heads"), F.array("n").alias("tails"))]
-    extended = _by_list(relation, words, frequent, ["lang", "word"])
-    for k in range(2, longest + 1):
-        relation, width = settle(extended), many
-        groups = relation.select("block", "first", "last", "n").mapInArrow(_groups, "block bigint, code bigint, first bigint, last bigint, n bigint")
-        frequent, many = _frequent(groups, ["first", "last"], least)
+    relation = settle(rows.mapInArrow(_read(block_words, longest), WORDS), "zstd")
+    groups, key, width = relation.select("block", "names", "n").mapInArrow(_words, "block bigint, code bigint, name string, n bigint"), ["name"], 0
+    word = F.substring_index("name", "\t", -1)
+    lang = F.substring(F.col("name"), F.lit(1), F.char_length("name") - F.char_length(word) - 1)
+    total = sum_counts(groups.select(lang.alias("lang"), "n"), ["lang"], ["n"])
+    frequent, many = _frequent(groups, key, least)
+    found = [frequent.select(lang.alias("lang"), "id", "n", word.alias("phrase"), word.alias("last_word"), F.array("n").alias("heads"), F.array("n").alias("tails"))]
+    for _ in range(1, longest):
+        if not many:
+            extended = relation.sparkSession.createDataFrame([], GROUPS)
+        elif len(key) == 1 and fits_broadcast(frequent.select(*key, "id"), sent_bytes):
+            extended = _by_table(relation, frequent, key[0], width)
+        else:
+            extended = _by_list(relation, groups, frequent, key)
+        relation, width = settle(extended, "zstd"), many if many < NARROW else 0
+        key = ["pair"] if width else ["first", "last"]
+        groups = relation.select("block", "first", "last", "n").mapInArrow(_groups(width), f"block bigint, code bigint, {' bigint, '.join(key)} bigint, n bigint")
+        frequent, many = _frequent(groups, key, least)
+        if width:
+            frequent = frequent.withColumns({"first": F.expr(f"pair div {width}"), "last": F.col("pair") % width})
         before = found[-1]
         first = before.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("begin"), "heads")
         last = before.select(F.col("id").alias("last"), "last_word", "tails")
@@ -256,11 +288,6 @@ def frequent_phrases(
             "lang", "id", "n", "first", "last", F.concat_ws(" ", "begin", "last_word").alias("phrase"), "last_word",
             F.concat("heads", F.array("n")).alias("heads"), F.concat("tails", F.array("n")).alias("tails"),
         )))
-        if k < longest and many:
-            small = 24 * many <= sent_bytes and width < 1 << 31
-            extended = _by_table(relation, frequent, width) if small else _by_list(relation, groups, frequent, ["first", "last"])
-        elif k < longest:
-            extended = relation.limit(0)
     return found, total
 
 

@@ -125,10 +125,25 @@ class Coder:
         pair = mix(mix(before + np.uint64(1)) + word)
         return word, before, pair if self.slots is None else pair % np.uint64(self.slots), first
 
-    def cells(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The cells of bigram, word and preceding word of each word, and the first word of each text."""
-        word, before, pair, first = self.pairs(texts)
-        return *((mix(n) & ~np.uint64(3)) | kind for n, kind in ((pair, PAIR), (word, WORD), (before, BEFORE))), first
+    def block(self, texts: list[pa.Array]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """The sorted cells of a block, which of them are the bigram, the word and the preceding word of each word, and the words of each text.
+
+        Words and bigrams are told apart once; a preceding word is looked up as the word before.
+        """
+        found = [self.pairs(t) for t in texts]
+        word, before, pair = (np.concatenate([np.zeros(0, np.uint64), *(f[k] for f in found)]) for k in range(3))
+        n = np.concatenate([np.zeros(0, np.int64), *(np.diff(f[3]) for f in found)])
+        words, at_word = np.unique(word, return_inverse=True)
+        pairs, at_pair = np.unique(pair, return_inverse=True)
+        start = START if self.words is None else np.uint64(self.unknown + 1)
+        at_before = np.concatenate([[len(words)], at_word[:-1]]) if len(word) else at_word
+        at_before[before == start] = len(words)
+        cell = lambda of, kind: (mix(of) & ~np.uint64(3)) | kind
+        cells = np.concatenate([cell(pairs, PAIR), cell(words, WORD), cell(np.append(words, start), BEFORE)])
+        order = np.argsort(cells)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return cells[order], [place[at_pair], place[len(pairs) + at_word], place[len(pairs) + len(words) + at_before]], n
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -149,10 +164,13 @@ def _slices(sent, buckets: int, want: bool, counted: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         borders = np.array([(j << 64) // buckets for j in range(1, buckets)], np.uint64)
-        block, counts = None, Counts()
+        held: list[pa.RecordBatch] = []
 
         def done() -> Iterator[pa.RecordBatch]:
-            cells, b, t = counts.summed()
+            cells, at, n = sent.value.block([part.column("text") for part in held])
+            target = np.repeat(np.concatenate([part.column("target").to_numpy(zero_copy_only=False).astype(bool) for part in held]), n)
+            all_, t = (sum(np.bincount(a, minlength=len(cells)) for a in own) for own in (at, [a[target] for a in at]))
+            b = all_ - t
             if not counted:
                 b, t = np.zeros_like(b), np.zeros_like(t)
             cuts = np.concatenate([[0], np.searchsorted(cells, borders), [len(cells)]])
@@ -160,7 +178,7 @@ def _slices(sent, buckets: int, want: bool, counted: bool):
                 own = slice(cuts[j], cuts[j + 1])
                 gaps = np.diff(cells[own], prepend=np.uint64(0))
                 yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array([j], pa.int64()), "block": pa.array([block], pa.int64()), "want": pa.array([want]),
+                    "bucket": pa.array([j], pa.int64()), "block": held[0].column("block").slice(0, 1), "want": pa.array([want]),
                     "cells": pa.array([_pack(gaps)], pa.binary()), "b": pa.array([_pack(b[own])], pa.binary()), "t": pa.array([_pack(t[own])], pa.binary()),
                 })
 
@@ -168,15 +186,12 @@ def _slices(sent, buckets: int, want: bool, counted: bool):
             of = batch.column("block").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
             for a, z in zip(cuts[:-1], cuts[1:], strict=True):
-                if of[a] != block:
+                if held and of[a] != held[0].column("block")[0].as_py():
                     yield from done()
-                    block, counts = int(of[a]), Counts()
-                part = batch.slice(a, z - a)
-                *cells, first = sent.value.cells(part.column("text"))
-                target = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
-                for c in cells:
-                    counts.add(c, target)
-        yield from done()
+                    held = []
+                held.append(batch.slice(a, z - a))
+        if held:
+            yield from done()
 
     return run
 
@@ -234,17 +249,11 @@ def _losses(sent, total: tuple[int, int]):
         back = back.sort_by("bucket")
         sums = [np.concatenate([np.zeros(0, np.int64), *(_unpack(n.as_py()) for n in back.column(side))]) for side in ("b", "t")]
         parts = list(pieces(documents.combine_chunks().to_batches()))
-        own = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(c) for p in parts for c in coder.cells(p.column("text"))[:3])]))
-        out = []
-        for part in parts:
-            *cells, first = coder.cells(part.column("text"))
-            n = np.diff(first)
-            of, at = np.repeat(np.arange(len(n)), n), [np.searchsorted(own, c) for c in cells]
-            b, t = (np.bincount(of, loss(k, sums[k], at, coder.unknown), len(n)) / np.maximum(n, 1) for k in (0, 1))
-            out.append(pa.RecordBatch.from_pydict({
-                "doc_id": part.column("doc_id"), "n_words": pa.array(n, pa.int64()), "target_loss": pa.array(t), "background_loss": pa.array(b), "score": pa.array(t - b),
-            }))
-        return pa.Table.from_batches(out)
+        _, at, n = coder.block([part.column("text") for part in parts])
+        of = np.repeat(np.arange(len(n)), n)
+        b, t = (np.bincount(of, loss(k, sums[k], at, coder.unknown), len(n)) / np.maximum(n, 1) for k in (0, 1))
+        found = {"n_words": pa.array(n, pa.int64()), "target_loss": pa.array(t), "background_loss": pa.array(b), "score": pa.array(t - b)}
+        return pa.table({"doc_id": documents.column("doc_id"), **found})
 
     return run
 

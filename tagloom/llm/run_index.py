@@ -152,7 +152,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     padded = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64)])
     for k in range(7):  # seven symbols of nine bits
         packed = (packed << np.uint64(9)) | padded[k : k + n]
-    order = np.argsort(packed, kind="stable")
+    order = np.argsort(packed)
     new = np.append(True, packed[order[1:]] != packed[order[:-1]])
     rank = np.empty(n, np.int64)
     group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -166,7 +166,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         at = order[tied]
         beyond = at + depth
         second = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
-        by = np.argsort(rank[at] * np.int64(n + 2) + second, kind="stable")
+        by = np.argsort(rank[at] * np.int64(n + 2) + second)
         at, second = at[by], second[by]
         order[tied] = at
         fresh = np.append(True, (rank[at[1:]] != rank[at[:-1]]) | (second[1:] != second[:-1]))
@@ -207,14 +207,8 @@ class RunIndex:
         tail = np.append(head[1:], True)
         self.text, self.symbols, self.lengths = text, before[head], np.diff(np.append(np.flatnonzero(head), len(text)))
         self.heads, self.tails = order[head], order[tail]
-        up, down = np.flatnonzero(head), np.flatnonzero(tail)
-        self.above, self.below = order[np.maximum(up - 1, 0)], order[np.minimum(down + 1, len(text) - 1)]
-        self.above[up == 0], self.below[down == len(text) - 1] = -1, -1
-
-    def _stream(self, samples: np.ndarray, other: np.ndarray) -> np.ndarray:
-        length = np.zeros(len(samples), np.int64)
-        real = np.flatnonzero(other >= 0)
-        length[real] = common_length(self.text, samples[real], other[real])
+
+    def _stream(self, samples: np.ndarray, length: np.ndarray) -> np.ndarray:
         at_sample = np.full(len(self.text), -1, np.int64)
         at_sample[samples] = length
         known = np.flatnonzero(at_sample >= 0)
@@ -222,8 +216,12 @@ class RunIndex:
         return at_sample[last] - (np.arange(len(self.text)) - last)
 
     def matching_statistics(self) -> np.ndarray:
-        """For every position, the length of the longest string from there on that also begins at another position."""
-        return np.maximum(self._stream(self.heads, self.above), self._stream(self.tails, self.below))
+        """For every position, the length of the longest string from there on that also begins at another position.
+
+        A run's head and the tail of the run before are neighbours, so one comparison is the sample of both.
+        """
+        shared = common_length(self.text, self.heads[1:], self.tails[:-1])
+        return np.maximum(self._stream(self.heads, np.append(0, shared)), self._stream(self.tails, np.append(shared, 0)))
 
 
 def repeated_starts(bodies: list[bytes]) -> list[np.ndarray]:
@@ -301,24 +299,27 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(documents: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, spans (removed byte ranges a to b, end exclusive) and kept (the remaining bytes)."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    rows = documents.select("doc_id", F.hash("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    places = rows.mapInArrow(_occurrences, f"key bigint, name bigint, doc_id {kind}, text_hash int, start int, n int")
+    rows = documents.select("doc_id", F.xxhash64("text", F.octet_length("text")).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
+    places = settle(rows.mapInArrow(_occurrences, f"key bigint, name bigint, doc_id {kind}, text_hash bigint, start int, n int"))
     # written first, so that Spark can split a key with very many places in the join
     keys = settle(places.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key", (F.col("m") > hot).alias("hot")))
     shared = settle(places.join(keys, "key"))
-    once = shared.groupBy("key", "name").agg(
+    once = settle(shared.groupBy("key", "name").agg(
         F.min(F.struct("doc_id", "text_hash", "start", "n")).alias("one"), F.count("*").alias("copies"), F.first("hot").alias("hot")
-    )
-    wanted = once.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")).agg(
+    ))
+    # a key with one distinct segment needs no index: its copies are whole repeats
+    several = once.groupBy("key").agg(F.count("*").alias("names")).filter("names > 1").select("key")
+    whole = once.join(several, "key", "left_anti").select("key", "name", F.array(F.struct(F.lit(0).alias("a"), (F.col("one.n") + WINDOW - 1).alias("b"))).alias("marks"))
+    wanted = once.join(several, "key").groupBy(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")).agg(
         F.collect_list(F.struct("key", "name", "copies", "hot", "one.start", "one.n")).alias("wanted")
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    packed = rows.mapInArrow(_packed, f"doc_id {kind}, text_hash int, packed binary")
+    packed = rows.mapInArrow(_packed, f"doc_id {kind}, text_hash bigint, packed binary")
     source = packed.join(wanted, same).select("packed", "wanted")
     bodies = source.mapInArrow(_fetched, "deal bigint, key bigint, name bigint, copies bigint, at int, body binary")
     dealt = bodies.repartition("deal").sortWithinPartitions("deal", "key", "name", "at")
-    marks = settle(dealt.mapInArrow(_marked, "key bigint, name bigint, marks array<struct<a:int,b:int>>"))
-    found = shared.join(marks, ["key", "name"]).select(
+    marks = dealt.mapInArrow(_marked, "key bigint, name bigint, marks array<struct<a:int,b:int>>")
+    found = shared.join(settle(marks.unionAll(whole)), ["key", "name"]).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
         F.explode(F.transform("marks", lambda m: F.struct((m["a"] + F.col("start")).alias("a"), (m["b"] + F.col("start")).alias("b")))).alias("mark"),
     )

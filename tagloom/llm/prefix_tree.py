@@ -5,8 +5,9 @@ similarity are a ``Likeness``, by default 3 words and 0.9. Equal sets are one cl
 similarity differ in few elements, so when the hash range is cut into one part more than they may differ in, at least one part
 holds the same elements in both. The number of parts depends on the size level; levels are so wide that linked sets are at most
 one level apart, and every set is cut for its own level and the next. Where low similarities make parts small, there are spare
-parts: as many more agree, so a set with no more empty parts than that need not be found by them. Sets that agree in some part
-are candidates; nothing that links is missed.
+parts: as many more agree, so a set with no more empty parts than that need not be found by them, and the few with more also
+meet on their first elements. Empty parts are never met on. Sets that agree in some part are candidates; nothing that links is
+missed.
 
 Candidates form groups: the connected pieces of the agreement graph, or, where such a piece is very large (WHOLE blocks), the
 sets that agree in one part; a group beyond BLOCK sets is cut into blocks and every pair of blocks is a group. A group's sets
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.scale import settle
+from tagloom.functions.scale import fits_broadcast, lookup_join, settle
 from tagloom.llm.common import byte_class, flat, mix, pieces, word_hashes
 from tagloom.llm.components import connected_components
 
@@ -100,16 +101,23 @@ def class_of(tokens: np.ndarray) -> int:
 
 
 def signatures(tokens: np.ndarray, like: Likeness = CONTRACT) -> np.ndarray:
-    """One number for each part of the set at its level and the next; sets of one part need none, they are equal or apart."""
+    """One number for each part of the set at its level and the next that is not empty; sets of one part need none, they are equal or apart.
+
+    If one of two linked sets has no more empty parts than there are spare ones, some part that is not empty agrees. Sets with more
+    meet each other on their first elements: as many as one has beyond the least overlap, and one more.
+    """
     level = int(np.searchsorted(levels(like), len(tokens), side="right")) - 1
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens), dtype=np.uint64)])
-    out = []
+    out, sparse = [], False
     for at in (level, level + 1):
         borders, numbers, spare = parts(at, like)
         if len(borders):
             cuts = np.concatenate([[0], np.searchsorted(tokens, borders), [len(tokens)]])
-            marks, empty = mix(np.diff(sums[cuts]) ^ numbers), np.diff(cuts) == 0
-            out.append(marks[~empty] if empty.sum() <= spare else marks)
+            empty = np.diff(cuts) == 0
+            out.append(mix(np.diff(sums[cuts]) ^ numbers)[~empty])
+            sparse |= int(empty.sum()) > spare
+    if sparse:
+        out.append(mix(tokens[: len(tokens) + 1 + -len(tokens) * like.over // like.under] + np.uint64(1)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -280,17 +288,31 @@ def _groups(hits: DataFrame, block: int) -> DataFrame:
     return cells.select("route", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "own")
 
 
+def _hits(sketch: DataFrame) -> DataFrame:
+    """set, mark, least: the marks that several sets have, and the least of these.
+
+    All marks travel once, to be counted, and only one of a set's copies sends them; those found shared are met where they lie, if
+    they fit a broadcast by measure.
+    """
+    copied = sketch.groupBy("set").agg(F.count("*").alias("n"), F.min("doc_id").alias("one")).filter("n > 1").drop("n")
+    each = lookup_join(sketch, copied, "set", ["doc_id"]).filter("one IS NULL OR one <=> doc_id")
+    marks = each.select("set", F.explode("marks").alias("mark"))
+    shared = settle(marks.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"))
+    met = settle(marks.join(F.broadcast(shared) if fits_broadcast(shared) else shared, "mark").distinct())
+    least = met.groupBy("mark").agg(F.min("set").alias("least"), F.max("set").alias("most")).filter("least <> most").drop("most")
+    return met.join(least, "mark")
+
+
 def jaccard_components(documents: DataFrame, block: int = BLOCK, like: Likeness = CONTRACT) -> DataFrame:
     """doc_id, n_shingles and component_id, the least id that links reach."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", "text")
     sketch = settle(rows.mapInArrow(partial(_sketch, like), f"doc_id {kind}, n_shingles bigint, set bigint, marks array<bigint>"))
-    marks = sketch.filter("set IS NOT NULL").select("set", F.explode("marks").alias("mark"))
-    shared = marks.groupBy("mark").agg(F.min("set").alias("least"), F.max("set").alias("most")).filter("least <> most").drop("most")
-    hits = settle(marks.join(shared, "mark").distinct())
+    hits = settle(_hits(sketch.filter("set IS NOT NULL").select("doc_id", "set", "marks")))
     groups = settle(_groups(hits, block))
     wanted = groups.select("set").distinct().join(sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("doc_id")), "set")
-    elements = rows.join(wanted, "doc_id").select("set", "text").mapInArrow(partial(_elements, like), "set bigint, elements binary")
+    fetched = lookup_join(rows, wanted, "doc_id", ["doc_id"], "inner")
+    elements = fetched.select("set", "text").mapInArrow(partial(_elements, like), "set bigint, elements binary")
     met = groups.join(elements.dropDuplicates(["set"]), "set").repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")
     found = met.select("route", "i", "j", "set", "own", "elements").mapInArrow(partial(_linked, like), "a bigint, b bigint")
     linked = connected_components(found).withColumnsRenamed({"node": "set"})
@@ -304,9 +326,19 @@ def jaccard_components(documents: DataFrame, block: int = BLOCK, like: Likeness
 
 
 def one_of_each(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
-    """The document of the least id of each component, with all columns; ids must be unique and not null."""
-    kept = jaccard_components(documents, like=like).filter("doc_id = component_id").select("doc_id")
-    return documents.join(kept, "doc_id", "left_semi")
+    """The row of the least id of each component, with all columns, whatever these are called.
+
+    Rows get numbers of their own first, so null and repeated ids are judged like others: a null id is greater than any other, and
+    of rows with the same id one stays.
+    """
+    keyed = settle(documents.select(F.struct(*documents.columns).alias("doc"), F.monotonically_increasing_id().alias("doc_id")), "zstd")
+    found = jaccard_components(keyed.select("doc_id", F.col("doc.text").alias("text")), like=like)
+    named = settle(found.join(keyed.select("doc_id", F.col("doc.doc_id").alias("id")), "doc_id").select("doc_id", "component_id", "id"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")
+    best = named.groupBy("component_id").agg(F.min(order).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    best = best.select("component_id", F.col("best.doc_id").alias("best"))
+    gone = lookup_join(named, best, "component_id", ["doc_id"], "inner").filter("doc_id <> best").select("doc_id", F.lit(True).alias("gone"))
+    return lookup_join(keyed, gone, "doc_id", ["doc_id"]).filter("gone IS NULL").select("doc.*")
 
 
 ORACLE = r"""

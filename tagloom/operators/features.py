@@ -19,7 +19,7 @@ AFFIX_LENGTHS = (3, 4, 5)
 NGRAM, MAX_NGRAMS = 2, 5
 NEIGHBOURS = ("prev2", "prev", "next", "next2")
 
-# feature keys by group, for ablation
+# --- fixed values: feature keys by group, for ablation ---
 GROUPS = {
     "lexicon": [
         "fuzzyApprovedDrugsLexicon", "fuzzyNotApprovedDrugsLexicon",
@@ -34,6 +34,7 @@ GROUPS = {
     ],
     "suffix": ["suf3", "suf4", "suf5"],
 }
+# --- end of fixed values ---
 
 
 def token_rows(sentences: DataFrame) -> DataFrame:
@@ -123,8 +124,7 @@ def trigram(prev2: Column, prev: Column, lower: Column) -> Column:
     return F.concat(prev2.getField("lower"), F.lit("_"), prev.getField("lower"), F.lit("_"), lower)
 
 
-def context_templates() -> list[Column]:
-    prev2, prev, nxt, nxt2, lower = (F.col(c) for c in ("prev2", "prev", "next", "next2", "lower"))
+def context_templates(prev2: Column, prev: Column, nxt: Column, nxt2: Column, lower: Column) -> list[Column]:
     return [
         keyed("formPrev", prev.getField("form")),
         keyed("formLowerPrev", prev.getField("lower")),
@@ -171,7 +171,7 @@ def assemble_features(
     no white space, so joining on tabs (which skips nulls) and splitting gives the list without a lambda.
     """
     form, lower, casing = F.col("form"), F.col("lower"), F.col("casing")
-    parts = basic_templates(form, lower) + character_templates(form, casing) + list(extra) + context_templates()
+    parts = basic_templates(form, lower) + character_templates(form, casing) + list(extra) + context_templates(*map(F.col, NEIGHBOURS), lower)
     if pos is not None:
         parts.append(pos)
     if embedding is not None:

@@ -22,6 +22,8 @@ AFFIXES = ("anti-", "-ing", "-tion")
 CRF_FIT_ROWS = 300
 #: They have converged when ten steps gain less than this part of the loss.
 CRF_DELTA = 0.05
+#: A best path that is better by more than this is told as the only one.
+UNIQUE = 1e-4
 
 
 # ---------------------------------------------------------------- shared parts
@@ -479,7 +481,8 @@ def _counted_chain(s, d) -> models.Model:
 
 def g5_decode_crf(s, d):
     best = crf.decode_sequences(_counted_chain(s, d), _chain_rows(s, d, True).drop("tag"))
-    return best.select("sid", F.size("labels").alias("n"), F.round("score", 4).alias("score"))
+    path = F.when(F.col("margin") > UNIQUE, F.array_join("labels", " "))
+    return best.select("sid", F.size("labels").alias("n"), F.round("score", 4).alias("score"), path.alias("path"))
 
 
 # ---------------------------------------------------------------- spans and scores
@@ -574,16 +577,30 @@ def j2_train_and_score_both(s, d):
     return out
 
 
-def j3_score_stream(s, d):
+def _streamed(s, d, model: models.Model, resources: runs.Resources | None = None) -> DataFrame:
     base = scratch_dir(s)
     views.sentences(s, d).write.parquet(f"{base}/in")
-    train = runs.extract_features(views.with_spans(s, d))
-    model = nb.fit_naive_bayes(train.select("tag", "features"))
-    query = stream.score_stream(stream.read_sentence_stream(s, f"{base}/in"), model, f"{base}/out", f"{base}/checkpoint")
+    query = stream.score_stream(stream.read_sentence_stream(s, f"{base}/in"), model, f"{base}/out", f"{base}/checkpoint", resources)
     query.awaitTermination()
     return s.read.parquet(f"{base}/out").select("sid", "start", "end", "text", "type")
 
 
+def j3_score_stream(s, d):
+    train = runs.extract_features(views.with_spans(s, d))
+    return _streamed(s, d, nb.fit_naive_bayes(train.select("tag", "features")))
+
+
+def j3_score_stream_lookups(s, d):
+    """Naive Bayes with tags, word vectors and both term lists."""
+    train = runs.extract_features(views.with_spans(s, d), _resources(s, d))
+    return _streamed(s, d, nb.fit_naive_bayes(train.select("tag", "features")), _resources(s, d))
+
+
+def j3_score_stream_crf(s, d):
+    """A chain model whose weights are log counts, with the same tables."""
+    return _streamed(s, d, _counted_chain(s, d), _resources(s, d))
+
+
 def entry(s: SparkSession, d: str) -> DataFrame:
     """Precision, recall and F1 per entity type of decoded labels against gold spans."""
     return _rounded(ev.evaluate("NER", _gold(s, d), _predicted(s, d)))

@@ -78,6 +78,7 @@ SELECT term AS word, e.embedding::DOUBLE[] AS vec
 FROM (SELECT term, row_number() OVER (ORDER BY term) - 1 AS r FROM voc) x JOIN embeddings e ON e.vec_id = x.r""",
 }
 
+# --- fixed values: the feature keys, which must equal those of the templates ---
 CONTEXT = [
     "'formPrev=' || p1", "'formLowerPrev=' || lp1", "'casingPrev=' || cp1", "'bigram=' || lp1 || '_' || low",
     "'formPrev2=' || p2", "'trigram=' || lp2 || '_' || lp1 || '_' || low", "CASE WHEN p1 IS NULL THEN 'BoS' END",
@@ -127,6 +128,7 @@ CHARACTER = (
     + [f"'wordShape=' || {_shape('form')}", "'casing=' || casing"]
     + [f"CASE WHEN {cond} THEN '{key}=true' END" for key, cond in FLAGS.items()]
 )
+# --- end of fixed values ---
 ALL = BASIC + CHARACTER + CONTEXT
 
 
@@ -471,8 +473,11 @@ UNION ALL SELECT 'transition', a, b, round(sum(count(*)) OVER () / (k * k) - cou
   WHERE b IS NOT NULL GROUP BY a, b, k
 UNION ALL SELECT 'loss', NULL, NULL, round(count(*) * ln(any_value(k)), 3) FROM tagged, (SELECT count(*) AS k FROM labs)""",
     "g5_decode_crf": """
-SELECT sid, (tok_ix + 1)::INTEGER AS n, round(best, 4) AS score FROM (
-  SELECT sid, tok_ix, max(s) AS best, row_number() OVER (PARTITION BY sid ORDER BY tok_ix DESC) AS r FROM path GROUP BY sid, tok_ix) WHERE r = 1""",
+SELECT sid, count(*)::INTEGER AS n, round(any_value(best), 4) AS score,
+  CASE WHEN max(near) = 1 THEN string_agg(label, ' ' ORDER BY tok_ix) END AS path FROM (
+  SELECT sid, tok_ix, any_value(best) AS best, count(*) FILTER (s >= best - 0.0001) AS near, arg_max(label, s) AS label FROM (
+    SELECT p.sid, p.tok_ix, p.label, p.s + b.s AS s, max(p.s + b.s) OVER (PARTITION BY p.sid) AS best
+    FROM path p JOIN back b ON b.sid = p.sid AND b.tok_ix = p.tok_ix AND b.label = p.label) GROUP BY sid, tok_ix) GROUP BY sid""",
     "h1_bio_decode": 'SELECT sid, start, "end", text, type FROM decoded',
     "h1_bio_decode_keep_adjacent": 'SELECT sid, start, "end", text, type FROM decoded_all',
     "i1_instance_sets": _sets("goldkey", NER_KEY),
@@ -494,8 +499,16 @@ SELECT outcome, gold_type, pred_type, count(*) AS n FROM (
     "j1_extract_features": "SELECT sid, tok_ix, tag, len(f)::INTEGER AS n, md5(array_to_string(f, chr(9))) AS digest FROM full_",
     "j2_train_and_score": f"SELECT {STAT_COLUMNS} FROM (" + _stats("halfgold", "hfdecoded") + ")",
     "j3_score_stream": 'SELECT sid, start, "end", text, type FROM pldecoded',
+    "j3_score_stream_lookups": 'SELECT sid, start, "end", text, type FROM fldecoded',
 }
 VIEWS["full_"] = VIEWS.pop("full")
+VIEWS["fltrainf"] = _one_hot("full_", "train")
+VIEWS["flpredf"] = _one_hot("full_", "predict")
+VIEWS.update(_nb("fltrainf", "fl"))
+VIEWS["flpred"] = _predict("flpredf", "fl")
+VIEWS["fllabel"] = 'SELECT t.*, p.label FROM tok t JOIN flpred p USING (sid, tok_ix)'
+VIEWS["fldecoded"] = _decode("fllabel")
+VIEWS["lastix"] = "SELECT sid, max(tok_ix) AS tok_ix FROM tok GROUP BY sid"
 VIEWS["relgold"] = "SELECT DISTINCT sid, e1, e2, type FROM rel WHERE ddi"
 VIEWS["relguess"] = "SELECT sid, e1, e2, CASE WHEN length(e2) % 4 = 0 THEN 'effect' ELSE type END AS type FROM relgold WHERE length(e1) % 3 <> 0"
 VIEWS["path"] = """
@@ -505,6 +518,14 @@ SELECT e.sid, e.tok_ix, e.label, e.s + m.s FROM (
   SELECT p.sid, p.tok_ix + 1 AS tok_ix, v.b AS label, max(p.s + v.weight) AS s
   FROM path p JOIN moves v ON v.a = p.label GROUP BY ALL) m
 JOIN emit e ON e.sid = m.sid AND e.tok_ix = m.tok_ix AND e.label = m.label"""
+VIEWS["back"] = """
+SELECT e.sid, e.tok_ix, e.label, 0.0::DOUBLE AS s FROM emit e JOIN lastix USING (sid, tok_ix)
+UNION ALL
+SELECT m.sid, m.tok_ix, m.label, m.s FROM (
+  SELECT p.sid, p.tok_ix - 1 AS tok_ix, v.a AS label, max(p.s + e.s + v.weight) AS s
+  FROM back p JOIN emit e ON e.sid = p.sid AND e.tok_ix = p.tok_ix AND e.label = p.label JOIN moves v ON v.b = p.label
+  WHERE p.tok_ix > 0 GROUP BY ALL) m"""
+RECURSIVE = ("path", "back")
 del VIEWS["stat_guess"]
 
 
@@ -537,10 +558,10 @@ def _statement(body: str) -> str:
 
     stack: list[str] = []
     visit(body)
-    views = ", ".join(f"{name} AS MATERIALIZED ({VIEWS[name].strip()})" for name in order if name != "path")
-    if "path" in order:
-        views += f", path AS ({VIEWS['path'].strip()})"
-    recursive = "RECURSIVE " if "path" in order else ""
+    views = ", ".join(f"{name} AS MATERIALIZED ({VIEWS[name].strip()})" for name in order if name not in RECURSIVE)
+    steps = [name for name in RECURSIVE if name in order]
+    views += "".join(f", {name} AS ({VIEWS[name].strip()})" for name in steps)
+    recursive = "RECURSIVE " if steps else ""
     return _expand(f"WITH {recursive}{views} {body.strip()}" if order else body.strip())
 
 

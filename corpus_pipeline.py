@@ -6,7 +6,8 @@
 4. Benchmark decontamination: contaminated documents go.
 5. Temperature mixing: the documents left are drawn into a mixture (doc_id, source, epoch, start, n_tokens).
 
-Stages 1 to 4 return the columns of documents. Ids must be unique and not null for stages 3 and 4, as they are in documents.
+Stages 1 to 4 return the columns of documents, further ones included, whatever these are called. Every row is judged by itself: null
+ids and repeated rows are kept or dropped like others, and of a group of near duplicates one row stays, even if all have the same id.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ NEAR = prefix_tree.Likeness(5, 4, 5)
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents with a language of a likelihood of LEAST_SCORE or more; ``und`` is none."""
-    found = language.predict(docs, language.learned(docs), keep=docs.columns)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    found = language.predict(rows, language.learned(docs), keep=["doc"])
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("doc.*")
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ neighbouring occurrences join into the longest matches. A document is never cut,
 and nothing is shuffled.
 
 Null or wordless texts have no hits. Items with a null id or no words take no part; rows with one item id count as one
-item. Repeated documents are judged one by one. Only the named columns are read, so further columns cannot clash.
+item. Repeated documents and those with a null id are judged one by one. Only the named columns are read, so
+further columns cannot clash.
 """
 
 from __future__ import annotations
@@ -111,7 +112,7 @@ def occurrences(words: np.ndarray, first: np.ndarray, test: Windows) -> Iterator
             yield at[np.repeat(low[hit], count) + inside], np.repeat(item[hit], count), n
 
 
-def _marker(test: Windows, more: bool, seen: bool):
+def _marker(test: Windows, carried: str, more: bool, seen: bool):
     """more: another block follows, so texts are passed on; seen: an earlier block left spans and items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +132,7 @@ def _marker(test: Windows, more: bool, seen: bool):
                     spans[d] += [{"start": int(b), "end": int(e)} for b, e in zip(begin, end, strict=True)]
                     items[d] += [test.ids[k] for k in np.unique(item[part])]
             out = {
-                "doc_id": batch.column("doc_id"), "n_words": pa.array(np.diff(first), pa.int64()),
+                carried: batch.column(carried), "n_words": pa.array(np.diff(first), pa.int64()),
                 "spans": pa.array([_merged(x) for x in spans], _SPANS), "items": pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
             }
             if more:
@@ -154,10 +155,14 @@ def _merged(spans: list[dict]) -> list[dict]:
     return out
 
 
+def _type(table: DataFrame, column: str) -> str:
+    return table.select(column).schema.fields[0].dataType.simpleString()
+
+
 def find_contamination(
-    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, carried: str = "doc_id"
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, spans (merged word spans hit) and items (ids with occurring windows).
+    """One row per document: the carried column (by default doc_id), n_words, spans (merged word spans hit) and items (ids with occurring windows).
 
     The benchmark is a query set: it is read in blocks of at most about ``block_bytes``, one pass over the documents each.
     """
@@ -165,12 +170,12 @@ def find_contamination(
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = size // block_bytes + 1
     spans = "array<struct<start:bigint,end:bigint>>"
-    rows, schema = documents.select("doc_id", "text"), f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_words bigint, spans {spans}, items array<string>"
+    rows, schema = documents.select(carried, "text"), f"{carried} {_type(documents, carried)}, n_words bigint, spans {spans}, items array<string>"
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
         test = Windows([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()], window)
         more = k + 1 < blocks
-        rows = rows.mapInArrow(_marker(test, more, k > 0), schema + ", text string" * more)
+        rows = rows.mapInArrow(_marker(test, carried, more, k > 0), schema + ", text string" * more)
     return rows
 
 
@@ -183,9 +188,9 @@ def judged(found: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with all their columns; ids must be unique and not null."""
-    bad = judged(find_contamination(documents, benchmark)).filter("contaminated").select("doc_id")
-    return documents.join(bad, "doc_id", "left_anti")
+    """The rows that are not contaminated, with all their columns, whatever these are called; each is judged by its own text."""
+    rows = documents.select(F.struct(*documents.columns).alias("doc"), "text")
+    return judged(find_contamination(rows, benchmark, carried="doc")).filter("NOT contaminated").select("doc.*")
 
 
 def digest(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

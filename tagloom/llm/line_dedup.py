@@ -58,20 +58,27 @@ def without_lines(text: Column, dropped: Column) -> Column:
     return F.when(F.size(dropped) == 0, text).otherwise(F.array_join(kept, "\n"))
 
 
-def deduplicate(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """documents with the remaining text, and n_lines (before) and n_dropped."""
+def kept_lines(documents: DataFrame, threshold: int = THRESHOLD, carried: list[str] | None = None) -> DataFrame:
+    """doc (a struct of the carried columns, by default doc_id), the remaining text, n_lines (before) and n_dropped for every row."""
     marks = dropped_lines(documents, threshold).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    rows = documents.withColumn("text", F.coalesce("text", F.lit("")))
-    joined = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
+    rows = documents.select(F.struct(*(carried or ["doc_id"])).alias("doc"), F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    joined = rows.join(marks, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
     dropped = F.coalesce("dropped", F.array().cast("array<int>"))
-    return joined.withColumns({
-        "n_lines": F.size(F.split("text", "\n", -1)).cast("long"), "n_dropped": F.size(dropped).cast("long"),
-    }).withColumn("text", without_lines(F.col("text"), dropped)).drop("_id", "_hash", "dropped")
+    return joined.select(
+        "doc", without_lines(F.col("text"), dropped).alias("text"), F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+        F.size(dropped).cast("long").alias("n_dropped"),
+    )
+
+
+def deduplicate(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """documents with the remaining text; all other columns stay, whatever they are called."""
+    kept = kept_lines(documents, threshold, [c for c in documents.columns if c != "text"])
+    return kept.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in documents.columns])
 
 
 def digest(documents: DataFrame) -> DataFrame:
-    kept = deduplicate(documents.select("doc_id", "text"))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    kept = kept_lines(documents)
+    return kept.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 ORACLE = """

@@ -29,9 +29,10 @@ NEAR = prefix_tree.Likeness(5, 4, 5)
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents with a language of a likelihood of LEAST_SCORE or more; ``und`` is none."""
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
-    found = language.predict(rows, language.learned(docs), keep=["doc"])
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("doc.*")
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"), "text")
+    found = language.predict(rows, language.learned(docs), keep=["doc", "text"])
+    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ further columns cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +112,7 @@ def occurrences(words: np.ndarray, first: np.ndarray, test: Windows) -> Iterator
             yield at[np.repeat(low[hit], count) + inside], np.repeat(item[hit], count), n
 
 
-def _marker(test: Windows, carried: str, more: bool, seen: bool):
+def _marker(test: Windows, carried: Sequence[str], more: bool, seen: bool):
     """more: another block follows, so texts are passed on; seen: an earlier block left spans and items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,10 +132,10 @@ def _marker(test: Windows, carried: str, more: bool, seen: bool):
                     spans[d] += [{"start": int(b), "end": int(e)} for b, e in zip(begin, end, strict=True)]
                     items[d] += [test.ids[k] for k in np.unique(item[part])]
             out = {
-                carried: batch.column(carried), "n_words": pa.array(np.diff(first), pa.int64()),
+                **{c: batch.column(c) for c in carried}, "n_words": pa.array(np.diff(first), pa.int64()),
                 "spans": pa.array([_merged(x) for x in spans], _SPANS), "items": pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
             }
-            if more:
+            if more and "text" not in carried:
                 out["text"] = batch.column("text")
             yield pa.RecordBatch.from_pydict(out)
 
@@ -160,9 +160,9 @@ def _type(table: DataFrame, column: str) -> str:
 
 
 def find_contamination(
-    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, carried: str = "doc_id"
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, carried: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """One row per document: the carried column (by default doc_id), n_words, spans (merged word spans hit) and items (ids with occurring windows).
+    """One row per document: the carried columns (by default doc_id), n_words, spans (merged word spans hit) and items (ids with occurring windows).
 
     The benchmark is a query set: it is read in blocks of at most about ``block_bytes``, one pass over the documents each.
     """
@@ -170,12 +170,13 @@ def find_contamination(
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = size // block_bytes + 1
     spans = "array<struct<start:bigint,end:bigint>>"
-    rows, schema = documents.select(carried, "text"), f"{carried} {_type(documents, carried)}, n_words bigint, spans {spans}, items array<string>"
+    rows = documents.select(*dict.fromkeys([*carried, "text"]))
+    schema = f"{', '.join(f'{c} {_type(documents, c)}' for c in carried)}, n_words bigint, spans {spans}, items array<string>"
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
         test = Windows([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()], window)
         more = k + 1 < blocks
-        rows = rows.mapInArrow(_marker(test, carried, more, k > 0), schema + ", text string" * more)
+        rows = rows.mapInArrow(_marker(test, carried, more, k > 0), schema + ", text string" * (more and "text" not in carried))
     return rows
 
 
@@ -189,8 +190,10 @@ def judged(found: DataFrame) -> DataFrame:
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that are not contaminated, with all their columns, whatever these are called; each is judged by its own text."""
-    rows = documents.select(F.struct(*documents.columns).alias("doc"), "text")
-    return judged(find_contamination(rows, benchmark, carried="doc")).filter("NOT contaminated").select("doc.*")
+    others = [c for c in documents.columns if c != "text"]
+    rows = documents.select(F.struct(*others).alias("doc"), "text")
+    kept = judged(find_contamination(rows, benchmark, carried=("doc", "text"))).filter("NOT contaminated")
+    return kept.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in documents.columns])
 
 
 def digest(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

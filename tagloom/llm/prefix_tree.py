@@ -28,6 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ WHOLE = 16
 #: Words are runs of anything but blanks.
 WORD_BYTES = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 CHUNK = 64
+#: Bits by which marks are first counted.
+FOLD = 40
 
 
 class Likeness(NamedTuple):
@@ -121,22 +124,33 @@ def signatures(tokens: np.ndarray, like: Likeness = CONTRACT) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _sketch(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(like: Likeness, marked: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's set, with its size or its marks."""
     for batch in pieces(batches):
         sets = shingle_sets(batch.column("text"), like.ngram)
-        marks = [signatures(s, like) if len(s) else np.zeros(0, np.uint64) for s in sets]
-        ends = np.cumsum([0, *map(len, marks)])
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-            "set": pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
-            "marks": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(marks).view(np.int64))),
-        })
+        out = {"doc_id": batch.column("doc_id"), "set": pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())}
+        if marked:
+            marks = [signatures(s, like) if len(s) else np.zeros(0, np.uint64) for s in sets]
+            ends = np.cumsum([0, *map(len, marks)])
+            out["marks"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(marks).view(np.int64)))
+        else:
+            out["n_shingles"] = pa.array([len(s) for s in sets], pa.int64())
+        yield pa.RecordBatch.from_pydict(out)
+
 
+#: Where a set meets others: the group, its two blocks, and the set's own block.
+CELL = "route bigint, i int, j int, set bigint, own int"
 
-def _elements(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _packed(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts travel compressed, which takes less than their sets; one that is not of the wanted set (ids may repeat) is left out."""
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in pieces(batches):
-        found = [(want, s) for want, s in zip(batch.column("set").to_pylist(), shingle_sets(batch.column("text"), like.ngram), strict=True) if len(s) and class_of(s) == want]
-        yield pa.RecordBatch.from_pydict({"set": pa.array([w for w, _ in found], pa.int64()), "elements": pa.array([s.tobytes() for _, s in found], pa.binary())})
+        sets = shingle_sets(batch.column("text"), like.ngram)
+        right = [k for k, (want, s) in enumerate(zip(batch.column("set").to_pylist(), sets, strict=True)) if len(s) and class_of(s) == want]
+        own = batch.take(pa.array(right, pa.int64()))
+        body = pa.array([pack(t.encode()) for t in own.column("text").to_pylist()], pa.binary())
+        yield own.drop_columns(["text"]).append_column("packed", body)
 
 
 class Trie:
@@ -248,6 +262,7 @@ def links(sets: list[np.ndarray], block: list[int] | None = None, like: Likeness
 def _linked(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; each set is told the least set it is linked to within the group."""
     key, names, sets, of = None, [], [], []
+    unpack = zstandard.ZstdDecompressor().decompress
 
     def done() -> pa.RecordBatch:
         forest = links(sets, of if key[1] != key[2] else None, like)
@@ -260,13 +275,13 @@ def _linked(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 
     for batch in batches:
         cols = [batch.column(c).to_pylist() for c in ("route", "i", "j", "set", "own")]
-        for (*here, name, own), elements in zip(zip(*cols, strict=True), batch.column("elements"), strict=True):
+        for (*here, name, own), packed in zip(zip(*cols, strict=True), batch.column("packed"), strict=True):
             if here != key:
                 if len(names) > 1:
                     yield done()
                 key, names, sets, of = here, [], [], []
             names.append(name)
-            sets.append(np.frombuffer(elements.as_py(), np.uint64))
+            sets.append(shingle_sets(pa.array([unpack(packed.as_py()).decode()]), like.ngram)[0])
             of.append(own)
     if len(names) > 1:
         yield done()
@@ -288,17 +303,18 @@ def _groups(hits: DataFrame, block: int) -> DataFrame:
     return cells.select("route", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "own")
 
 
-def _hits(sketch: DataFrame) -> DataFrame:
+def _hits(sets: DataFrame, marked: DataFrame) -> DataFrame:
     """set, mark, least: the marks that several sets have, and the least of these.
 
-    All marks travel once, to be counted, and only one of a set's copies sends them; those found shared are met where they lie, if
-    they fit a broadcast by measure.
+    Marks are made twice and never written. They travel once, by FOLD bits, to be counted, and only one of a set's copies sends
+    them; those whose fold is shared are met where they are made, if the shared ones fit a broadcast by measure, and then told apart.
     """
-    copied = sketch.groupBy("set").agg(F.count("*").alias("n"), F.min("doc_id").alias("one")).filter("n > 1").drop("n")
-    each = lookup_join(sketch, copied, "set", ["doc_id"]).filter("one IS NULL OR one <=> doc_id")
+    copied = sets.groupBy("set").agg(F.count("*").alias("n"), F.min("doc_id").alias("one")).filter("n > 1").drop("n")
+    each = lookup_join(marked, copied, "set", ["doc_id"]).filter("one IS NULL OR one <=> doc_id")
     marks = each.select("set", F.explode("marks").alias("mark"))
-    shared = settle(marks.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"))
-    met = settle(marks.join(F.broadcast(shared) if fits_broadcast(shared) else shared, "mark").distinct())
+    marks = marks.withColumn("fold", F.col("mark").bitwiseAND(F.lit((1 << FOLD) - 1)))
+    shared = settle(marks.groupBy("fold").agg(F.count("*").alias("n")).filter("n > 1").select("fold"))
+    met = settle(marks.join(F.broadcast(shared) if fits_broadcast(shared) else shared, "fold").select("set", "mark").distinct())
     least = met.groupBy("mark").agg(F.min("set").alias("least"), F.max("set").alias("most")).filter("least <> most").drop("most")
     return met.join(least, "mark")
 
@@ -307,14 +323,15 @@ def jaccard_components(documents: DataFrame, block: int = BLOCK, like: Likeness
     """doc_id, n_shingles and component_id, the least id that links reach."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", "text")
-    sketch = settle(rows.mapInArrow(partial(_sketch, like), f"doc_id {kind}, n_shingles bigint, set bigint, marks array<bigint>"))
-    hits = settle(_hits(sketch.filter("set IS NOT NULL").select("doc_id", "set", "marks")))
-    groups = settle(_groups(hits, block))
-    wanted = groups.select("set").distinct().join(sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("doc_id")), "set")
-    fetched = lookup_join(rows, wanted, "doc_id", ["doc_id"], "inner")
-    elements = fetched.select("set", "text").mapInArrow(partial(_elements, like), "set bigint, elements binary")
-    met = groups.join(elements.dropDuplicates(["set"]), "set").repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")
-    found = met.select("route", "i", "j", "set", "own", "elements").mapInArrow(partial(_linked, like), "a bigint, b bigint")
+    sketch = settle(rows.mapInArrow(partial(_sketch, like, False), f"doc_id {kind}, set bigint, n_shingles bigint"))
+    marked = rows.mapInArrow(partial(_sketch, like, True), f"doc_id {kind}, set bigint, marks array<bigint>").filter("set IS NOT NULL")
+    hits = settle(_hits(sketch.filter("set IS NOT NULL").select("doc_id", "set"), marked))
+    one_of = sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("doc_id"))
+    placed = _groups(hits, block).join(one_of, "set")
+    fetched = lookup_join(rows, placed, "doc_id", ["doc_id"], "inner")
+    packed = fetched.select("route", "i", "j", "set", "own", "text").mapInArrow(partial(_packed, like), f"{CELL}, packed binary")
+    met = packed.repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")
+    found = met.mapInArrow(partial(_linked, like), "a bigint, b bigint")
     linked = connected_components(found).withColumnsRenamed({"node": "set"})
     first = sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("first")).join(linked, "set", "left")
     classes = first.select("set", "first", F.coalesce("root", "set").alias("class"))

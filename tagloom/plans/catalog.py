@@ -597,8 +597,12 @@ def j3_score_stream_lookups(s, d):
 
 
 def j3_score_stream_crf(s, d):
-    """A chain model whose weights are log counts, with the same tables."""
-    return _streamed(s, d, _counted_chain(s, d), _resources(s, d))
+    """A chain model whose weights are each label's share of an attribute and of a move, with the same tables."""
+    counted = _counted_chain(s, d)
+    attrs, moves = counted.tables["attribute_weights"], counted.tables["transitions"].withColumn("n", F.exp("weight") - 1)
+    share = lambda rows, key: rows.join(rows.groupBy(key).agg(F.sum("n").alias("all")), key).withColumn("weight", F.col("n") / F.col("all"))
+    tables = {"attribute_weights": share(attrs, "attribute").drop("all"), "transitions": share(moves, "label_from").drop("all", "n")}
+    return _streamed(s, d, models.Model("crf", counted.labels, tables), _resources(s, d))
 
 
 def entry(s: SparkSession, d: str) -> DataFrame:

@@ -9,9 +9,11 @@ parts: as many more agree, so a set with no more empty parts than that need not
 meet on their first elements. Empty parts are never met on. Sets that agree in some part are candidates; nothing that links is
 missed.
 
-Candidates form groups: the connected pieces of the agreement graph, or, where such a piece is very large (WHOLE blocks), the
-sets that agree in one part; a group beyond BLOCK sets is cut into blocks and every pair of blocks is a group. A group's sets
-are stored in a path-compressed trie. A set is looked up by a walk that shares the overlap along common prefixes and leaves a
+Candidates form groups: the connected pieces of the agreement graph. In a piece beyond BLOCK sets, which passages that many texts
+share make, agreement in a part is not enough: the sets of a part first meet with their odd sketches (the parities of hash
+buckets, one to two bits an element). Sketches never differ in more places than sets do, so only sets whose sketches are near
+stay connected. What is still very large (WHOLE blocks) meets part by part. A group beyond BLOCK sets is cut into blocks and
+every pair of blocks is a group. A group's sets are stored in a path-compressed trie. A set is looked up by a walk that shares the overlap along common prefixes and leaves a
 subtree when the remaining lengths cannot reach the needed overlap. Sets of a component with more than half of a group need not
 be looked up, since all others are. What comes out are links that span the components, so no group emits all its pairs.
 
@@ -124,6 +126,43 @@ def signatures(tokens: np.ndarray, like: Likeness = CONTRACT) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def odd_sketch(tokens: np.ndarray) -> bytes:
+    """One bit for each of at least as many hash buckets as there are elements: whether it holds an odd number of them."""
+    bits = 1 << max(6, (len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(odd: np.ndarray, words: int) -> np.ndarray:
+    """The sketches, one a row, as they would be with fewer buckets."""
+    while odd.shape[1] > words:
+        half = odd.shape[1] // 2
+        odd = odd[:, :half] ^ odd[:, half:]
+    return odd
+
+
+def near_pieces(sizes: np.ndarray, odds: list[bytes], like: Likeness = CONTRACT) -> np.ndarray:
+    """A piece number for each set; all sets that may have the least similarity by their sizes and sketches share one."""
+    _, p, q = like
+    words = np.array([len(odd) // 8 for odd in odds])
+    tables = {w: (at := np.flatnonzero(words == w), np.frombuffer(b"".join(odds[k] for k in at), np.uint64).reshape(len(at), w)) for w in set(words.tolist())}
+    piece = np.arange(len(sizes))
+    for w, (at, odd) in tables.items():
+        for wider, (others, table) in tables.items():
+            if wider < w or p * sizes[others].min() > q * sizes[at].max():
+                continue
+            table = folded(table, w)
+            for n, k in enumerate(at.tolist()):
+                after = n + 1 if wider == w else 0
+                rest, size = others[after:], sizes[others[after:]]
+                differ = np.bitwise_count(table[after:] ^ odd[n]).sum(axis=1, dtype=np.int64)
+                near = ((p + q) * differ <= (q - p) * (size + sizes[k])) & (p * np.maximum(size, sizes[k]) <= q * np.minimum(size, sizes[k]))
+                joined = np.unique(piece[rest[near]])
+                if len(joined) and (len(joined) > 1 or joined[0] != piece[k]):
+                    piece[np.isin(piece, joined)] = piece[k]
+    return piece
+
+
 def _sketch(like: Likeness, marked: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's set, with its size or its marks."""
     for batch in pieces(batches):
@@ -135,6 +174,7 @@ def _sketch(like: Likeness, marked: bool, batches: Iterator[pa.RecordBatch]) ->
             out["marks"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(marks).view(np.int64)))
         else:
             out["n_shingles"] = pa.array([len(s) for s in sets], pa.int64())
+            out["odd"] = pa.array([odd_sketch(s) if len(s) else None for s in sets], pa.binary())
         yield pa.RecordBatch.from_pydict(out)
 
 
@@ -287,20 +327,62 @@ def _linked(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield done()
 
 
-def _groups(hits: DataFrame, block: int) -> DataFrame:
+def _near(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by group; each set is told the least set that its sketch connects it to within the group."""
+    key, names, sizes, odds = None, [], [], []
+
+    def done() -> pa.RecordBatch:
+        name, piece = np.array(names, np.int64), near_pieces(np.array(sizes, np.int64), odds, like)
+        least = np.full(len(name), np.iinfo(np.int64).max)
+        np.minimum.at(least, piece, name)
+        moved = least[piece] != name
+        return pa.RecordBatch.from_pydict({"a": pa.array(name[moved]), "b": pa.array(least[piece][moved])})
+
+    for batch in batches:
+        for *here, name, size, odd in zip(*[batch.column(c).to_pylist() for c in ("route", "i", "j", "set", "n_shingles", "odd")], strict=True):
+            if here != key:
+                if len(names) > 1:
+                    yield done()
+                key, names, sizes, odds = here, [], [], []
+            names.append(name)
+            sizes.append(size)
+            odds.append(odd)
+    if len(names) > 1:
+        yield done()
+
+
+def _cells(groups: DataFrame) -> DataFrame:
+    """Each set (of a group route cut into n blocks) in all pairs of blocks that hold its own."""
+    cells = groups.withColumn("own", F.pmod(F.xxhash64("set"), F.col("n")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return cells.select("route", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "own")
+
+
+def _by_mark(hits: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    split = hits.join(sets.select("set"), "set").select(F.col("mark").alias("route"), "set")
+    members = split.groupBy("route").agg(F.count("*").alias("m"))
+    return split.join(members, "route").filter("m > 1").select("route", "set", F.ceil(F.col("m") / block).cast("int").alias("n"))
+
+
+def _pieces(links: DataFrame) -> DataFrame:
+    """set, root, n: the connected piece of each set, and how many sets it has."""
+    found = connected_components(links)
+    whole = settle(found.select(F.col("node").alias("set"), "root").unionAll(found.select("root", "root").distinct().toDF("set", "root")))
+    return whole.join(whole.groupBy("root").agg(F.count("*").alias("n")), "root")
+
+
+def _groups(hits: DataFrame, sketch: DataFrame, block: int, like: Likeness) -> DataFrame:
     """route, i, j, set, own: which sets meet in which group; own is the block a set comes from."""
-    pieces_of = connected_components(hits.select(F.col("set").alias("a"), F.col("least").alias("b")))
-    whole = settle(pieces_of.select(F.col("node").alias("set"), "root").unionAll(pieces_of.select("root", "root").distinct().toDF("set", "root")))
-    size = whole.groupBy("root").agg(F.count("*").alias("n"))
-    large = whole.join(size.filter(F.col("n") > WHOLE * block), "root").select("set").distinct()
-    small = whole.join(size.filter(F.col("n") <= WHOLE * block), "root")
+    whole = _pieces(hits.select(F.col("set").alias("a"), F.col("least").alias("b")))
+    wide = settle(whole.filter(F.col("n") > block).select("set"))
+    odd = lookup_join(sketch.select("doc_id", "set", "n_shingles", "odd"), wide.withColumn("is_wide", F.lit(True)), "set", ["doc_id"], "inner")
+    odd = odd.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("odd").alias("odd"))
+    meet = _cells(_by_mark(hits, wide, block)).drop("own").join(odd, "set").select("route", "i", "j", "set", "n_shingles", "odd")
+    near = meet.repartition("route", "i", "j").sortWithinPartitions("route", "i", "j").mapInArrow(partial(_near, like), "a bigint, b bigint")
+    narrow = settle(_pieces(near))
+    small = whole.filter(F.col("n") <= block).unionByName(narrow.filter(F.col("n") <= WHOLE * block))
     small = small.select(F.col("root").alias("route"), "set", F.ceil(F.col("n") / block).cast("int").alias("n"))
-    split = hits.join(large, "set").select(F.col("mark").alias("route"), "set")
-    members = split.groupBy("route").agg(F.count("*").alias("m"))
-    split = split.join(members, "route").select("route", "set", F.ceil(F.col("m") / block).cast("int").alias("n"))
-    own = F.pmod(F.xxhash64("set"), F.col("n")).cast("int")
-    cells = small.unionAll(split).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    return cells.select("route", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "own")
+    return _cells(small.unionAll(_by_mark(hits, narrow.filter(F.col("n") > WHOLE * block), block)))
 
 
 def _hits(sets: DataFrame, marked: DataFrame) -> DataFrame:
@@ -323,11 +405,11 @@ def jaccard_components(documents: DataFrame, block: int = BLOCK, like: Likeness
     """doc_id, n_shingles and component_id, the least id that links reach."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", "text")
-    sketch = settle(rows.mapInArrow(partial(_sketch, like, False), f"doc_id {kind}, set bigint, n_shingles bigint"))
+    sketch = settle(rows.mapInArrow(partial(_sketch, like, False), f"doc_id {kind}, set bigint, n_shingles bigint, odd binary"))
     marked = rows.mapInArrow(partial(_sketch, like, True), f"doc_id {kind}, set bigint, marks array<bigint>").filter("set IS NOT NULL")
     hits = settle(_hits(sketch.filter("set IS NOT NULL").select("doc_id", "set"), marked))
     one_of = sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("doc_id"))
-    placed = _groups(hits, block).join(one_of, "set")
+    placed = _groups(hits, sketch.filter("set IS NOT NULL"), block, like).join(one_of, "set")
     fetched = lookup_join(rows, placed, "doc_id", ["doc_id"], "inner")
     packed = fetched.select("route", "i", "j", "set", "own", "text").mapInArrow(partial(_packed, like), f"{CELL}, packed binary")
     met = packed.repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")

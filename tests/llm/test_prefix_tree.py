@@ -102,3 +102,28 @@ def test_other_lengths_and_similarities_equal_brute_force(spark):
         found = by_id(prefix_tree.jaccard_components(documents(spark, texts), like=like))
         assert [found[k]["component_id"] for k in range(len(texts))] == up
         assert max(np.bincount(up)) > 5
+
+
+def test_sketches_never_differ_in_more_places_than_sets():
+    r = np.random.default_rng(5)
+    draw = lambda n: r.integers(0, 2**64, int(n), dtype=np.uint64)
+    for _ in range(300):
+        both = draw(r.integers(0, 400))
+        a, b = np.unique(np.concatenate([both, draw(r.integers(1, 300))])), np.unique(np.concatenate([both, draw(r.integers(1, 300))]))
+        one, other = (np.frombuffer(prefix_tree.odd_sketch(s), np.uint64)[None, :] for s in (a, b))
+        words = min(one.shape[1], other.shape[1])
+        apart = int(np.bitwise_count(prefix_tree.folded(one, words) ^ prefix_tree.folded(other, words)).sum())
+        assert apart <= len(np.setxor1d(a, b)) and 64 * one.shape[1] >= len(a)
+
+
+def test_pieces_by_sketches_hold_links_and_part_passages():
+    r = np.random.default_rng(6)
+    passage = r.integers(0, 2**64, 60, dtype=np.uint64)
+    sets = []
+    for n in r.integers(100, 260, 120).tolist():
+        base = np.unique(np.concatenate([passage, r.integers(0, 2**64, n, dtype=np.uint64)]))
+        sets += [base, base[: len(base) - len(base) // 12]]
+    for like in (prefix_tree.Likeness(5, 4, 5), prefix_tree.CONTRACT):
+        sizes = np.array([len(s) for s in sets])
+        piece = prefix_tree.near_pieces(sizes, [prefix_tree.odd_sketch(s) for s in sets], like)
+        assert all(piece[k] == piece[k + 1] for k in range(0, len(sets), 2)) and np.bincount(piece).max() == 2

@@ -13,9 +13,10 @@ Candidates form groups: the connected pieces of the agreement graph. In a piece
 share make, agreement in a part is not enough: the sets of a part first meet with their odd sketches (the parities of hash
 buckets, one to two bits an element). Sketches never differ in more places than sets do, so only sets whose sketches are near
 stay connected. What is still very large (WHOLE blocks) meets part by part. A group beyond BLOCK sets is cut into blocks and
-every pair of blocks is a group. A group's sets are stored in a path-compressed trie. A set is looked up by a walk that shares the overlap along common prefixes and leaves a
-subtree when the remaining lengths cannot reach the needed overlap. Sets of a component with more than half of a group need not
-be looked up, since all others are. What comes out are links that span the components, so no group emits all its pairs.
+every pair of blocks is a group. A group's sets are stored in a path-compressed trie. A set is looked up by a walk that shares
+the overlap along common prefixes and leaves a subtree when the remaining lengths cannot reach the needed overlap. Sets of a
+component with more than half of a group need not be looked up, since all others are. What comes out are links that span the
+components, so no group emits all its pairs.
 
 Null and wordless texts have no set and are a component of their own; so is a row with a null id. Fewer words than a shingle has
 are one shingle. Repeated rows and equal texts share a component. Only doc_id and text are read.
@@ -44,6 +45,8 @@ WHOLE = 16
 #: Words are runs of anything but blanks.
 WORD_BYTES = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 CHUNK = 64
+#: Words of sketches compared at a time.
+COMPARED = 1 << 18
 #: Bits by which marks are first counted.
 FOLD = 40
 
@@ -151,15 +154,16 @@ def near_pieces(sizes: np.ndarray, odds: list[bytes], like: Likeness = CONTRACT)
         for wider, (others, table) in tables.items():
             if wider < w or p * sizes[others].min() > q * sizes[at].max():
                 continue
-            table = folded(table, w)
-            for n, k in enumerate(at.tolist()):
-                after = n + 1 if wider == w else 0
-                rest, size = others[after:], sizes[others[after:]]
-                differ = np.bitwise_count(table[after:] ^ odd[n]).sum(axis=1, dtype=np.int64)
-                near = ((p + q) * differ <= (q - p) * (size + sizes[k])) & (p * np.maximum(size, sizes[k]) <= q * np.minimum(size, sizes[k]))
-                joined = np.unique(piece[rest[near]])
-                if len(joined) and (len(joined) > 1 or joined[0] != piece[k]):
-                    piece[np.isin(piece, joined)] = piece[k]
+            table, size = folded(table, w), sizes[others]
+            step = max(1, COMPARED // table.size)
+            for n in range(0, len(at), step):
+                own = sizes[at[n : n + step], None]
+                differ = np.bitwise_count(odd[n : n + step, None, :] ^ table).sum(axis=2, dtype=np.int64)
+                near = ((p + q) * differ <= (q - p) * (size + own)) & (p * np.maximum(size, own) <= q * np.minimum(size, own))
+                for k in np.flatnonzero(near.sum(axis=1) > (wider == w)).tolist():
+                    joined, mine = piece[others[near[k]]], piece[at[n + k]]
+                    if (joined != mine).any():
+                        piece[np.isin(piece, joined)] = mine
     return piece
 
 

@@ -10,6 +10,7 @@ from tagloom.functions.arrays import strings
 from tagloom.functions.scale import scratch_dir, settle
 from tagloom.operators import crf, enrich, evaluate as ev, features as ft, naive_bayes as nb
 from tagloom.operators import spans as sp
+from tagloom.operators import tagger
 from tagloom.operators import tokens as tk
 from tagloom.plans import runs, views
 from tagloom.sources import lexicons, models, rows as rw, vectors, xml
@@ -118,6 +119,11 @@ def a6_read_embeddings(s, d):
     )
 
 
+def a6_first_vectors(s, d):
+    """What the first lines of the file hold, as the vocabulary is usually bounded."""
+    return vectors.read_embeddings(s, _vector_lines(s, d), max_vocab=300).select("word", F.get("vec", F.lit(0)).alias("first"))
+
+
 def a7_write_features(s, d):
     path = scratch_dir(s)
     rw.write_features(ft.assemble_features(_rows(s, d, True)), path)
@@ -350,6 +356,32 @@ def e3_pos(s, d):
     return tagged.groupBy("form", "pos").agg(F.count("*").alias("n"))
 
 
+def _tagger(s, d) -> tagger.TagModel:
+    """A tagger of gold labels, which depend on what stands beside a token."""
+    return tagger.fit_tagger(views.tagged(s, d).select(F.col("tokens.form").alias("forms"), "tags"))
+
+
+def e3_fit_tagger(s, d):
+    """All counts of the model, and how many moves each order of context foretells best."""
+    m, none = _tagger(s, d), F.lit(None).cast("string")
+    rows = m.moves.select(F.lit("move").alias("kind"), F.col("before2").alias("a"), F.col("before").alias("b"), "tag", "n")
+    rows = rows.unionAll(m.words.select(F.lit("word"), "form", none, "tag", "n")).unionAll(m.endings.select(F.lit("ending"), "ending", none, "tag", "n"))
+    return rows.unionAll(tagger.interpolation(m).select(F.lit("order"), F.col("order").cast("string"), none, none, "n"))
+
+
+def e3_guess_tags(s, d):
+    """Tag shares, by their endings, of the words of conversations, seen in documents or not."""
+    shares = tagger.guesses(_tagger(s, d), _names(s, d).select(F.col("term").alias("form")))
+    return shares.select("form", "tag", F.round("share", 6).alias("share"))
+
+
+def e3_context_tags(s, d):
+    """Every sentence tagged from context."""
+    rows = views.located(s, d).select("sid", F.col("tokens.form").alias("forms"))
+    found = tagger.tag_sentences(rows, _tagger(s, d))
+    return found.select("sid", F.size("pos").alias("n"), F.array_join("pos", " ").alias("path"), F.round("score", 4).alias("score"))
+
+
 def e4_embedding_bins(s, d):
     rows = enrich.embedding_bins(views.tokens(s, d), views.term_vectors(s, d))
     return rows.groupBy(F.lower("form").alias("word"), F.array_join("embedding", " ").alias("bins")).agg(F.count("*").alias("n"))

@@ -397,6 +397,7 @@ UNION ALL SELECT sid, ix, 1, nstart, "end", type FROM numbered WHERE nstart IS N
     "a4_gold_relations": "SELECT DISTINCT sid, e1, e2, type FROM rel WHERE ddi",
     "a5_read_lexicon": r"SELECT DISTINCT lower(trim(line, ' ' || chr(9) || chr(10))) AS term FROM (SELECT unnest(string_split(text, '.')) AS line FROM benchmark) WHERE trim(line, ' ' || chr(9) || chr(10)) <> ''",
     "a6_read_embeddings": 'SELECT word, 50 AS dim, vec[1] AS "first", vec[50] AS "last" FROM vec',
+    "a6_first_vectors": 'SELECT word, vec[1] AS "first" FROM (SELECT *, row_number() OVER (ORDER BY word) AS r FROM vec) WHERE r <= 150',
     "a7_write_features": "SELECT sid, md5(string_agg(sid || chr(9) || form || chr(9) || start || chr(9) || \"end\" || chr(9) || tag || chr(9) || array_to_string(f, chr(9)), chr(10) ORDER BY tok_ix)) AS digest FROM feats GROUP BY sid",
     "a8_read_features": "SELECT sid, tok_ix, form, start, \"end\", tag, md5(array_to_string(f, chr(9))) AS digest FROM feats",
     "a9_classification_rows": "SELECT tag, md5(array_to_string(f, chr(9))) AS digest, count(*) AS n FROM feats GROUP BY ALL",
@@ -449,6 +450,26 @@ SELECT word, l.term IS NOT NULL AS in_drug_lexicon, coalesce(l.type = 'brand', f
   coalesce(l.type = 'group', false) AS in_group_list, l.term IS NOT NULL OR x.term IS NOT NULL AS in_lexicon, n
 FROM words w LEFT JOIN voc l ON w.word = l.term LEFT JOIN extern x ON w.word = x.term""",
     "e3_pos": "SELECT f.form, coalesce(t.pos, 'UNK') AS pos, n FROM forms f LEFT JOIN tags t ON f.form = t.form",
+    "e3_fit_tagger": """
+SELECT 'move' AS kind, before2 AS a, before AS b, tag, n FROM tagmoves
+UNION ALL SELECT 'word', form, NULL, tag, n FROM tagwords
+UNION ALL SELECT 'ending', ending, NULL, tag, n FROM tagends
+UNION ALL SELECT 'order', k::VARCHAR, NULL, NULL, sum(n)::BIGINT FROM (
+  SELECT n, CASE WHEN c3 >= c2 AND c3 >= c1 THEN 3 WHEN c2 >= c1 THEN 2 ELSE 1 END AS k FROM (
+    SELECT n, CASE WHEN f12 > 1 THEN (n - 1) / (f12 - 1) ELSE 0 END AS c3, CASE WHEN f2 > 1 THEN (f23 - 1) / (f2 - 1) ELSE 0 END AS c2,
+      CASE WHEN f > 1 THEN (f3 - 1) / (f - 1) ELSE 0 END AS c1 FROM (
+      SELECT n, sum(n) OVER (PARTITION BY before2, before) AS f12, sum(n) OVER (PARTITION BY before, tag) AS f23,
+        sum(n) OVER (PARTITION BY before) AS f2, sum(n) OVER (PARTITION BY tag) AS f3, sum(n) OVER () AS f FROM tagmoves))) GROUP BY k""",
+    "e3_guess_tags": """
+SELECT form, tag, round(sum(w * n / total), 6) AS share FROM (
+  SELECT form, e.tag, e.n, s.total, CASE WHEN k = 0 THEN pow(x / (1 + x), most) ELSE pow(x, most - k) / pow(1 + x, most - k + 1) END AS w
+  FROM (SELECT *, max(k) OVER (PARTITION BY form) AS most FROM (
+      SELECT form, k, ending, total FROM (SELECT form, k, right(form, k) AS ending FROM (
+        SELECT form, unnest(range(least(length(form), 10) + 1)) AS k FROM (
+          SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS form FROM conversations)))
+      JOIN (SELECT ending, sum(n) AS total FROM tagends GROUP BY ending) USING (ending))) s
+  JOIN tagends e ON e.ending = s.ending,
+    (SELECT coalesce(stddev_samp(p), 0) AS x FROM (SELECT count(*) / sum(count(*)) OVER () AS p FROM tagged GROUP BY tag))) GROUP BY form, tag""",
     "e4_embedding_bins": "SELECT w.word, array_to_string(coalesce(b.b, ['emb_OOV=true']), ' ') AS bins, n FROM words w LEFT JOIN bins b ON w.word = b.word",
     "e5_embedding_truncated": """
 SELECT w.word, n, i::INTEGER AS i, round_even(vec[i + 1] * 10000, 0) / 10000 AS value FROM (
@@ -508,6 +529,16 @@ VIEWS.update(_nb("fltrainf", "fl"))
 VIEWS["flpred"] = _predict("flpredf", "fl")
 VIEWS["fllabel"] = 'SELECT t.*, p.label FROM tok t JOIN flpred p USING (sid, tok_ix)'
 VIEWS["fldecoded"] = _decode("fllabel")
+VIEWS["tagwords"] = "SELECT form, tag, count(*) AS n FROM tagged GROUP BY form, tag"
+VIEWS["tagends"] = """
+SELECT ending, tag, sum(n)::BIGINT AS n FROM (SELECT right(form, k) AS ending, tag, n FROM (
+  SELECT form, tag, n, unnest(range(least(length(form), 10) + 1)) AS k FROM (
+    SELECT *, sum(n) OVER (PARTITION BY form) AS seen FROM tagwords) WHERE seen <= 10)) GROUP BY ending, tag"""
+VIEWS["tagmoves"] = """
+SELECT before2, before, tag, count(*) AS n FROM (
+  SELECT coalesce(lag(tag, 2) OVER w, '') AS before2, coalesce(lag(tag) OVER w, '') AS before, tag FROM (
+    SELECT sid, tok_ix, tag FROM tagged UNION ALL SELECT sid, max(tok_ix) + 1, '' FROM tagged GROUP BY sid)
+  WINDOW w AS (PARTITION BY sid ORDER BY tok_ix)) GROUP BY ALL"""
 VIEWS["lastix"] = "SELECT sid, max(tok_ix) AS tok_ix FROM tok GROUP BY sid"
 VIEWS["relgold"] = "SELECT DISTINCT sid, e1, e2, type FROM rel WHERE ddi"
 VIEWS["relguess"] = "SELECT sid, e1, e2, CASE WHEN length(e2) % 4 = 0 THEN 'effect' ELSE type END AS type FROM relgold WHERE length(e1) % 3 <> 0"

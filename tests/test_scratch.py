@@ -1,11 +1,17 @@
 """What queries leave in scratch space, and how often a computed array is computed."""
 
 import gzip
+import itertools
+import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions.arrays import exploded
+from tagloom.operators import features as ft
+from tagloom.operators import token_arrays
+from tagloom.operators import tokens as tk
 from tagloom.plans import catalog, views
 from tagloom.sources import rows as rw
 
@@ -57,3 +63,46 @@ def test_exploded_keeps_what_explode_keeps_and_computes_once(spark):
 def test_tokens_are_found_once(spark, tables):
     plan = views.tokens(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
     assert "size(zip_with(" not in plan
+
+
+def test_tokens_of_a_batch_are_those_of_the_pattern(spark):
+    pools = ["abcXYZ019-()", "éÉßǅªμΣςاあ²½٣Ⅷ①", "aB́ÖöЖж 'x", " \t\x0b\x0c\x85\x1c\xa0  \U0001f600\U00010400\U0001d7ce​﻿"]
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(rnd.choice(pools)) for _ in range(rnd.randint(0, 60))) for _ in range(2000)] + [None, "", " ", None, "a" * 70_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(3)
+    for r in df.select("text", tk.token_forms(F.col("text")).alias("forms"), tk.located_tokens(F.col("text")).alias("tokens")).collect():
+        if r.text is None:
+            assert r.tokens is None
+            continue
+        assert [t.form for t in r.tokens] == r.forms == [r.text[t.start : t.end + 1] for t in r.tokens]
+        assert all(a.end < b.start for a, b in itertools.pairwise(r.tokens))
+
+
+def test_pieces_of_a_batch_do_not_change_its_tokens(spark, monkeypatch):
+    texts, classes = pa.array(["ab é", None, "", "x-y", " ", "é1 2"]), token_arrays._classes(*token_arrays._class_runs())
+    whole = token_arrays.locate(texts, classes)
+    monkeypatch.setattr(token_arrays, "PIECE_BYTES", 1)
+    assert token_arrays.locate(texts, classes).equals(whole)
+    assert token_arrays.locate(texts.slice(2, 3), classes).equals(whole.slice(2, 3))
+
+
+def test_token_rows_with_lists_of_unlike_length(spark):
+    tokens = [("A", 0, 0), ("b", 2, 2), ("C", 4, 4)]
+    df = spark.createDataFrame(
+        [("s", tokens, ["O"]), ("t", tokens[:1], ["O", "B-x"]), ("u", tokens[:2], None), ("v", None, ["O"]), ("w", [], [])],
+        "sid string, tokens array<struct<form:string,start:int,end:int>>, tags array<string>",
+    )
+    rows = {(r.sid, r.tok_ix): r for r in ft.token_rows(df).collect()}
+    assert sorted(rows) == [("s", 0), ("s", 1), ("s", 2), ("t", 0), ("u", 0), ("u", 1)]
+    assert [rows["s", i].tag for i in range(3)] == ["O", None, None] and rows["t", 0].tag == "O" and rows["u", 1].tag is None
+    mid = rows["s", 1]
+    assert (mid.form, mid.lower, mid.casing, mid.start, mid.prev.form, mid.next.lower, mid.prev2, mid.next2) == ("b", "b", "LOWER", 2, "A", "c", None, None)
+    assert rows["s", 2].prev2.form == "A" and rows["s", 0].next2.form == "C" and rows["s", 0].prev is None and rows["s", 2].next is None
+
+
+def test_spans_start_from_forms_that_may_be_terms(spark, tables):
+    plan = views.gold_spans(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= 8" in plan
+    assert sorted((r.sid, r.ent_ix, r.text) for r in views.gold_spans(spark, tables).collect()) == [
+        ("1.s0", 0, "Paracetamolum hilft"), ("1.s1", 1, "Paracetamolum allein"), ("5.s0", 0, "Paracetamolum"),
+    ]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.arrays import exploded
 from tagloom.operators import features as ft
+from tagloom.operators import spans as sp
 from tagloom.operators import token_arrays
 from tagloom.operators import tokens as tk
 from tagloom.plans import catalog, views
@@ -106,3 +107,39 @@ def test_spans_start_from_forms_that_may_be_terms(spark, tables):
     assert sorted((r.sid, r.ent_ix, r.text) for r in views.gold_spans(spark, tables).collect()) == [
         ("1.s0", 0, "Paracetamolum hilft"), ("1.s1", 1, "Paracetamolum allein"), ("5.s0", 0, "Paracetamolum"),
     ]
+
+
+def _decoded_one_by_one(rows, drop_adjacent):
+    """Entities of ``sid, tok_ix, form, start, end, label``, token by token."""
+    out = []
+    for sid, group in itertools.groupby(sorted(rows), key=lambda r: r[0]):
+        runs = []
+        for r in group:
+            if r[5] in ("O",) or r[5].startswith("B"):
+                runs.append([r])
+            elif runs:
+                runs[-1].append(r)
+        for run, after in zip(runs, [*runs[1:], None], strict=False):
+            lost = drop_adjacent and after and after[0][5].startswith("B")
+            if run[0][5].startswith("B") and not lost:
+                out.append((sid, run[0][3], run[-1][4], " ".join(r[2] for r in run), run[0][5][2:]))
+    return sorted(out)
+
+
+def test_thinned_labels_decode_alike(spark):
+    rnd, rows = random.Random(5), []
+    for s in range(40):
+        often = rnd.choice([1, 4, 60])
+        for i in range(rnd.choice([3, 200, 700])):
+            if rnd.random() < 0.9:  # numbers with gaps
+                rows.append((f"s{s}", i, f"w{i}", 3 * i, 3 * i + 1, rnd.choice(["B-a", "I-a", "I-b", "I-a"] + ["O"] * often)))
+    # an I after an O, after a gap and after nothing; labels over the border of a stretch
+    rows += [("t", i, "x", i, i, lab) for i, lab in ((0, "I-a"), (1, "B-a"), (5, "I-a"), (6, "O"), (62, "B-a"), (64, "I-a"), (128, "O"), (300, "I-a"), (301, "B-b"))]
+    # after O some tokens close what is open
+    df = spark.createDataFrame(rows, "sid string, tok_ix int, form string, start int, end int, label string").repartition(4)
+    for drop in (True, False):
+        got = sorted(map(tuple, sp.bio_decode(df, drop).collect()))
+        want = _decoded_one_by_one(rows, drop)
+        assert got == want and len(want) > 100
+    quiet = spark.range(6400).select(F.lit("s").alias("sid"), F.col("id").cast("int").alias("tok_ix"), F.lit("x").alias("form"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("O").alias("label"))
+    assert sp.thinned(quiet).count() == 100

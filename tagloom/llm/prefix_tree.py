@@ -25,17 +25,18 @@ are one shingle. Repeated rows and equal texts share a component. Only doc_id an
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.scale import fits_broadcast, lookup_join, settle
+from tagloom.functions.scale import lookup_join, settle
 from tagloom.llm.common import byte_class, flat, mix, pieces, word_hashes
 from tagloom.llm.components import connected_components
 
@@ -49,6 +50,11 @@ CHUNK = 64
 COMPARED = 1 << 18
 #: Bits by which marks are first counted.
 FOLD = 40
+#: Bits that tell which folds are shared, at most, and bytes of them a task makes at a time.
+MOST_BITS = 1 << 28
+CHUNK_BYTES = 1 << 16
+#: Ids of texts to be read again are broadcast up to this size by measure.
+FETCH_BYTES = 16 << 20
 
 
 class Likeness(NamedTuple):
@@ -167,13 +173,14 @@ def near_pieces(sizes: np.ndarray, odds: list[bytes], like: Likeness = CONTRACT)
     return piece
 
 
-def _sketch(like: Likeness, marked: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's set, with its size or its marks."""
+def _sketch(like: Likeness, marked: bool, kept: Broadcast | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's set, with its size or its marks, of these only what ``kept`` has a bit for."""
     for batch in pieces(batches):
         sets = shingle_sets(batch.column("text"), like.ngram)
         out = {"doc_id": batch.column("doc_id"), "set": pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())}
         if marked:
             marks = [signatures(s, like) if len(s) else np.zeros(0, np.uint64) for s in sets]
+            marks = marks if kept is None else [m[has_bit(kept.value, m)] for m in marks]
             ends = np.cumsum([0, *map(len, marks)])
             out["marks"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(marks).view(np.int64)))
         else:
@@ -182,8 +189,35 @@ def _sketch(like: Likeness, marked: bool, batches: Iterator[pa.RecordBatch]) ->
         yield pa.RecordBatch.from_pydict(out)
 
 
-#: Where a set meets others: the group, its two blocks, and the set's own block.
-CELL = "route bigint, i int, j int, set bigint, own int"
+def has_bit(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    at = marks & np.uint64(8 * len(bits) - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _chunks_of_bits(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of the marks' folds, in chunks of ``size`` bytes; a task has all folds of its chunks."""
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        chunk, bit = (batch.column(c).to_numpy() for c in ("chunk", "bit"))
+        for c in np.unique(chunk).tolist():
+            at = bit[chunk == c]
+            np.bitwise_or.at(found.setdefault(c, np.zeros(size, np.uint8)), at >> 3, (1 << (at & 7)).astype(np.uint8))
+    yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(found), pa.int64()), "bits": pa.array([b.tobytes() for b in found.values()], pa.binary())})
+
+
+def bits_of(shared: DataFrame, most: int = MOST_BITS) -> np.ndarray | None:
+    """One bit for the low bits of each fold, about 16 bits a fold; none where ``most`` bits leave less than four."""
+    n = shared.count()
+    if 4 * n > most:
+        return None
+    bits = min(most, 1 << max(6, (16 * n).bit_length()))
+    size = min(bits // 8, CHUNK_BYTES)
+    at = F.col("fold").bitwiseAND(F.lit(bits - 1))
+    folds = shared.select(F.floor(at / (8 * size)).cast("long").alias("chunk"), (at % (8 * size)).alias("bit"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in folds.repartition("chunk").mapInArrow(partial(_chunks_of_bits, size), "chunk bigint, bits binary").collect():
+        out[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return out
 
 
 def _packed(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,8 +396,8 @@ def _cells(groups: DataFrame) -> DataFrame:
     return cells.select("route", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "own")
 
 
-def _by_mark(hits: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    split = hits.join(sets.select("set"), "set").select(F.col("mark").alias("route"), "set")
+def _by_mark(hits: DataFrame, block: int) -> DataFrame:
+    split = hits.select(F.col("mark").alias("route"), "set")
     members = split.groupBy("route").agg(F.count("*").alias("m"))
     return split.join(members, "route").filter("m > 1").select("route", "set", F.ceil(F.col("m") / block).cast("int").alias("n"))
 
@@ -378,29 +412,40 @@ def _pieces(links: DataFrame) -> DataFrame:
 def _groups(hits: DataFrame, sketch: DataFrame, block: int, like: Likeness) -> DataFrame:
     """route, i, j, set, own: which sets meet in which group; own is the block a set comes from."""
     whole = _pieces(hits.select(F.col("set").alias("a"), F.col("least").alias("b")))
-    wide = settle(whole.filter(F.col("n") > block).select("set"))
+    # every hit learns once how many sets its piece has: as many rows as there are hits, whatever the pieces
+    sized = settle(hits.join(whole.select("set", "n"), "set").select("set", "mark", "n"))
+    in_wide = sized.filter(F.col("n") > block).drop("n")
+    wide = in_wide.select("set").distinct()
     odd = lookup_join(sketch.select("doc_id", "set", "n_shingles", "odd"), wide.withColumn("is_wide", F.lit(True)), "set", ["doc_id"], "inner")
     odd = odd.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("odd").alias("odd"))
-    meet = _cells(_by_mark(hits, wide, block)).drop("own").join(odd, "set").select("route", "i", "j", "set", "n_shingles", "odd")
+    meet = _cells(_by_mark(in_wide, block)).drop("own").join(odd, "set").select("route", "i", "j", "set", "n_shingles", "odd")
     near = meet.repartition("route", "i", "j").sortWithinPartitions("route", "i", "j").mapInArrow(partial(_near, like), "a bigint, b bigint")
     narrow = settle(_pieces(near))
     small = whole.filter(F.col("n") <= block).unionByName(narrow.filter(F.col("n") <= WHOLE * block))
     small = small.select(F.col("root").alias("route"), "set", F.ceil(F.col("n") / block).cast("int").alias("n"))
-    return _cells(small.unionAll(_by_mark(hits, narrow.filter(F.col("n") > WHOLE * block), block)))
+    vast = narrow.filter(F.col("n") > WHOLE * block).select("set")
+    return _cells(small.unionAll(_by_mark(in_wide.join(vast, "set"), block)))
 
 
-def _hits(sets: DataFrame, marked: DataFrame) -> DataFrame:
+def _hits(sets: DataFrame, marked: Callable[[Broadcast | None], DataFrame], most: int = MOST_BITS) -> DataFrame:
     """set, mark, least: the marks that several sets have, and the least of these.
 
     Marks are made twice and never written. They travel once, by FOLD bits, to be counted, and only one of a set's copies sends
-    them; those whose fold is shared are met where they are made, if the shared ones fit a broadcast by measure, and then told apart.
+    them. Tasks are then told the shared folds as bits, of bounded size, and send the marks that have one; few of these are not
+    shared, and they go when marks are told apart. Where there are too many shared folds for that, they are met in a shuffle.
     """
+    context = sets.sparkSession.sparkContext
     copied = sets.groupBy("set").agg(F.count("*").alias("n"), F.min("doc_id").alias("one")).filter("n > 1").drop("n")
-    each = lookup_join(marked, copied, "set", ["doc_id"]).filter("one IS NULL OR one <=> doc_id")
-    marks = each.select("set", F.explode("marks").alias("mark"))
-    marks = marks.withColumn("fold", F.col("mark").bitwiseAND(F.lit((1 << FOLD) - 1)))
-    shared = settle(marks.groupBy("fold").agg(F.count("*").alias("n")).filter("n > 1").select("fold"))
-    met = settle(marks.join(F.broadcast(shared) if fits_broadcast(shared) else shared, "fold").select("set", "mark").distinct())
+
+    def made(kept: Broadcast | None) -> DataFrame:
+        each = lookup_join(marked(kept), copied, "set", ["doc_id"]).filter("one IS NULL OR one <=> doc_id")
+        return each.select("set", F.explode("marks").alias("mark"))
+
+    fold = F.col("mark").bitwiseAND(F.lit((1 << FOLD) - 1))
+    shared = settle(made(None).select(fold.alias("fold")).groupBy("fold").agg(F.count("*").alias("n")).filter("n > 1").select("fold"))
+    bits = bits_of(shared, most)
+    found = made(None).withColumn("fold", fold).join(shared, "fold") if bits is None else made(context.broadcast(bits))
+    met = settle(found.select("set", "mark").distinct())
     least = met.groupBy("mark").agg(F.min("set").alias("least"), F.max("set").alias("most")).filter("least <> most").drop("most")
     return met.join(least, "mark")
 
@@ -409,14 +454,19 @@ def jaccard_components(documents: DataFrame, block: int = BLOCK, like: Likeness
     """doc_id, n_shingles and component_id, the least id that links reach."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", "text")
-    sketch = settle(rows.mapInArrow(partial(_sketch, like, False), f"doc_id {kind}, set bigint, n_shingles bigint, odd binary"))
-    marked = rows.mapInArrow(partial(_sketch, like, True), f"doc_id {kind}, set bigint, marks array<bigint>").filter("set IS NOT NULL")
+    sketch = settle(rows.mapInArrow(partial(_sketch, like, False, None), f"doc_id {kind}, set bigint, n_shingles bigint, odd binary"))
+
+    def marked(kept: Broadcast | None) -> DataFrame:
+        return rows.mapInArrow(partial(_sketch, like, True, kept), f"doc_id {kind}, set bigint, marks array<bigint>").filter("set IS NOT NULL")
+
     hits = settle(_hits(sketch.filter("set IS NOT NULL").select("doc_id", "set"), marked))
     one_of = sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("doc_id"))
-    placed = _groups(hits, sketch.filter("set IS NOT NULL"), block, like).join(one_of, "set")
-    fetched = lookup_join(rows, placed, "doc_id", ["doc_id"], "inner")
-    packed = fetched.select("route", "i", "j", "set", "own", "text").mapInArrow(partial(_packed, like), f"{CELL}, packed binary")
-    met = packed.repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")
+    placed = settle(_groups(hits, sketch.filter("set IS NOT NULL"), block, like))
+    # a text is read and packed once for its set, whatever the number of cells that set is in
+    wanted = placed.select("set").distinct().join(one_of, "set")
+    fetched = lookup_join(rows, wanted, "doc_id", ["doc_id"], "inner", FETCH_BYTES)
+    packed = fetched.select("set", "text").mapInArrow(partial(_packed, like), "set bigint, packed binary")
+    met = placed.join(packed, "set").repartition("route", "i", "j").sortWithinPartitions("route", "i", "j")
     found = met.mapInArrow(partial(_linked, like), "a bigint, b bigint")
     linked = connected_components(found).withColumnsRenamed({"node": "set"})
     first = sketch.select("set", "doc_id").dropna().groupBy("set").agg(F.min("doc_id").alias("first")).join(linked, "set", "left")

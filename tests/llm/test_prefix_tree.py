@@ -127,3 +127,28 @@ def test_pieces_by_sketches_hold_links_and_part_passages():
         sizes = np.array([len(s) for s in sets])
         piece = prefix_tree.near_pieces(sizes, [prefix_tree.odd_sketch(s) for s in sets], like)
         assert all(piece[k] == piece[k + 1] for k in range(0, len(sets), 2)) and np.bincount(piece).max() == 2
+
+
+def test_shared_marks_are_told_by_bounded_bits(spark):
+    folds = [5, 77, 1 << 20, (1 << 39) + 3, (1 << 40) - 1]
+    shared = spark.createDataFrame([(f,) for f in folds * 40], "fold long").distinct()
+    bits = prefix_tree.bits_of(shared)
+    marks = np.arange(1 << 12, dtype=np.uint64)
+    assert 8 * len(bits) == 128 and prefix_tree.has_bit(bits, np.array(folds, np.uint64) + np.uint64(1 << 50)).all()
+    assert prefix_tree.has_bit(bits, marks).mean() == len({f % 128 for f in folds}) / 128
+    many = spark.range(40_000).selectExpr("id * 7919 AS fold")
+    assert len(prefix_tree.bits_of(many)) << 3 == 1 << 20 and prefix_tree.bits_of(many, 1 << 17) is None
+    assert prefix_tree.has_bit(prefix_tree.bits_of(many, 1 << 18), np.arange(40_000, dtype=np.uint64) * np.uint64(7919)).all()
+    assert not prefix_tree.bits_of(shared.limit(0)).any()
+
+
+def test_bits_and_shuffle_find_the_same_hits(spark):
+    rows = [(k, k % 9, [k % 4, 100 + k % 9, (1 << 60) + k % 3, 1000 + k]) for k in range(60)]
+    marked = spark.createDataFrame(rows, "doc_id long, set long, marks array<long>")
+
+    def kept(bits):
+        some = [(d, s, [m for m in ms if bits is None or prefix_tree.has_bit(bits.value, np.array([m], np.uint64))[0]]) for d, s, ms in rows]
+        return spark.createDataFrame(some, marked.schema)
+
+    found = [sorted(map(tuple, prefix_tree._hits(marked.select("doc_id", "set"), kept, most).select("set", "mark", "least").collect())) for most in (1 << 28, 1)]
+    assert found[0] == found[1] == sorted({(s, m, min(x[1] for x in rows[:9] if m in x[2])) for _, s, ms in rows[:9] for m in ms if sum(m in x[2] for x in rows[:9]) > 1})

@@ -397,9 +397,14 @@ def _cells(groups: DataFrame) -> DataFrame:
 
 
 def _by_mark(hits: DataFrame, block: int) -> DataFrame:
-    split = hits.select(F.col("mark").alias("route"), "set")
-    members = split.groupBy("route").agg(F.count("*").alias("m"))
-    return split.join(members, "route").filter("m > 1").select("route", "set", F.ceil(F.col("m") / block).cast("int").alias("n"))
+    """Sets meet by their marks. How many sets have a mark stands in each hit (``m``), so nothing is counted or joined anew."""
+    return hits.select(F.col("mark").alias("route"), "set", F.ceil(F.col("m") / block).cast("int").alias("n"))
+
+
+def _recounted(hits: DataFrame) -> DataFrame:
+    """Hits of marks that several of the given sets have, with their number ``m`` among these."""
+    members = hits.groupBy("mark").agg(F.count("*").alias("m")).filter("m > 1")
+    return hits.drop("m").join(members, "mark")
 
 
 def _pieces(links: DataFrame) -> DataFrame:
@@ -413,7 +418,7 @@ def _groups(hits: DataFrame, sketch: DataFrame, block: int, like: Likeness) -> D
     """route, i, j, set, own: which sets meet in which group; own is the block a set comes from."""
     whole = _pieces(hits.select(F.col("set").alias("a"), F.col("least").alias("b")))
     # every hit learns once how many sets its piece has: as many rows as there are hits, whatever the pieces
-    sized = settle(hits.join(whole.select("set", "n"), "set").select("set", "mark", "n"))
+    sized = settle(hits.join(whole.select("set", "n"), "set").select("set", "mark", "m", "n"))
     in_wide = sized.filter(F.col("n") > block).drop("n")
     wide = in_wide.select("set").distinct()
     odd = lookup_join(sketch.select("doc_id", "set", "n_shingles", "odd"), wide.withColumn("is_wide", F.lit(True)), "set", ["doc_id"], "inner")
@@ -424,11 +429,11 @@ def _groups(hits: DataFrame, sketch: DataFrame, block: int, like: Likeness) -> D
     small = whole.filter(F.col("n") <= block).unionByName(narrow.filter(F.col("n") <= WHOLE * block))
     small = small.select(F.col("root").alias("route"), "set", F.ceil(F.col("n") / block).cast("int").alias("n"))
     vast = narrow.filter(F.col("n") > WHOLE * block).select("set")
-    return _cells(small.unionAll(_by_mark(in_wide.join(vast, "set"), block)))
+    return _cells(small.unionAll(_by_mark(_recounted(in_wide.join(vast, "set")), block)))
 
 
 def _hits(sets: DataFrame, marked: Callable[[Broadcast | None], DataFrame], most: int = MOST_BITS) -> DataFrame:
-    """set, mark, least: the marks that several sets have, and the least of these.
+    """set, mark, least, m: the marks that several sets have, the least of these and their number.
 
     Marks are made twice and never written. They travel once, by FOLD bits, to be counted, and only one of a set's copies sends
     them. Tasks are then told the shared folds as bits, of bounded size, and send the marks that have one; few of these are not
@@ -446,7 +451,7 @@ def _hits(sets: DataFrame, marked: Callable[[Broadcast | None], DataFrame], most
     bits = bits_of(shared, most)
     found = made(None).withColumn("fold", fold).join(shared, "fold") if bits is None else made(context.broadcast(bits))
     met = settle(found.select("set", "mark").distinct())
-    least = met.groupBy("mark").agg(F.min("set").alias("least"), F.max("set").alias("most")).filter("least <> most").drop("most")
+    least = met.groupBy("mark").agg(F.min("set").alias("least"), F.count("*").alias("m")).filter("m > 1")
     return met.join(least, "mark")
 
 

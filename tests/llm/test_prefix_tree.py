@@ -152,3 +152,19 @@ def test_bits_and_shuffle_find_the_same_hits(spark):
 
     found = [sorted(map(tuple, prefix_tree._hits(marked.select("doc_id", "set"), kept, most).select("set", "mark", "least").collect())) for most in (1 << 28, 1)]
     assert found[0] == found[1] == sorted({(s, m, min(x[1] for x in rows[:9] if m in x[2])) for _, s, ms in rows[:9] for m in ms if sum(m in x[2] for x in rows[:9]) > 1})
+
+
+def test_hits_know_how_many_sets_their_mark_has(spark):
+    """Sets of wide pieces meet without a count and a join of their own, whose rows would come all at once when a piece gets wide."""
+    rows = [(k, k, [k % 4, 100 + k % 9, 1000 + k]) for k in range(60)]
+    marked = spark.createDataFrame(rows, "doc_id long, set long, marks array<long>")
+    hits = prefix_tree._hits(marked.select("doc_id", "set"), lambda bits: marked, 1).select("set", "mark", "least", "m")
+    of = {}
+    for _, s, ms in rows:
+        for m in ms:
+            of.setdefault(m, set()).add(s)
+    assert sorted(map(tuple, hits.collect())) == sorted((s, m, min(ss), len(ss)) for m, ss in of.items() if len(ss) > 1 for s in ss)
+    given = spark.createDataFrame([(s, m, len(of[m])) for _, s, ms in rows for m in ms if len(of[m]) > 1], "set long, mark long, m long")
+    met = prefix_tree._by_mark(given, 4)
+    assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["route"], r["n"]) for r in met.collect()} == {(m, -(-len(ss) // 4)) for m, ss in of.items() if len(ss) > 1}

@@ -9,10 +9,10 @@ parts: as many more agree, so a set with no more empty parts than that need not
 meet on their first elements. Empty parts are never met on. Sets that agree in some part are candidates; nothing that links is
 missed.
 
-Candidates form groups: the connected pieces of the agreement graph. In a piece beyond BLOCK sets, which passages that many texts
-share make, agreement in a part is not enough: the sets of a part first meet with their odd sketches (the parities of hash
-buckets, one to two bits an element). Sketches never differ in more places than sets do, so only sets whose sketches are near
-stay connected. What is still very large (WHOLE blocks) meets part by part. A group beyond BLOCK sets is cut into blocks and
+Agreement in a part is not enough, as passages that many texts share bring it as well. The sets of a part first meet with their odd
+sketches (the parities of hash buckets, one to two bits an element); parts that the same sets agree in count once. Sketches never
+differ in more places than sets do, so only sets whose sketches are near stay connected, and the connected pieces are the groups.
+What is still very large (WHOLE blocks) meets part by part. A group beyond BLOCK sets is cut into blocks and
 every pair of blocks is a group. A group's sets are stored in a path-compressed trie. A set is looked up by a walk that shares
 the overlap along common prefixes and leaves a subtree when the remaining lengths cannot reach the needed overlap. Sets of a
 component with more than half of a group need not be looked up, since all others are. What comes out are links that span the
@@ -414,22 +414,26 @@ def _pieces(links: DataFrame) -> DataFrame:
     return whole.join(whole.groupBy("root").agg(F.count("*").alias("n")), "root")
 
 
+def _told_once(hits: DataFrame) -> DataFrame:
+    """The hits of one mark of all those that the same sets have; 64 bits, the least set and their number tell the sets."""
+    of = hits.groupBy("mark").agg(F.min("set").alias("least"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("set")).alias("sets"))
+    return hits.select("set", "mark", "m").join(of.groupBy("least", "m", "sets").agg(F.min("mark").alias("mark")).select("mark"), "mark")
+
+
 def _groups(hits: DataFrame, sketch: DataFrame, block: int, like: Likeness) -> DataFrame:
-    """route, i, j, set, own: which sets meet in which group; own is the block a set comes from."""
-    whole = _pieces(hits.select(F.col("set").alias("a"), F.col("least").alias("b")))
-    # every hit learns once how many sets its piece has: as many rows as there are hits, whatever the pieces
-    sized = settle(hits.join(whole.select("set", "n"), "set").select("set", "mark", "m", "n"))
-    in_wide = sized.filter(F.col("n") > block).drop("n")
-    wide = in_wide.select("set").distinct()
-    odd = lookup_join(sketch.select("doc_id", "set", "n_shingles", "odd"), wide.withColumn("is_wide", F.lit(True)), "set", ["doc_id"], "inner")
-    odd = odd.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("odd").alias("odd"))
-    meet = _cells(_by_mark(in_wide, block)).drop("own").join(odd, "set").select("route", "i", "j", "set", "n_shingles", "odd")
+    """route, i, j, set, own: which sets meet in which group; own is the block a set comes from.
+
+    All hits take the same way, whatever the size of the piece their sets are in, so rows grow with the hits.
+    """
+    told = settle(_told_once(hits))
+    odd = sketch.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("odd").alias("odd"))
+    meet = _cells(_by_mark(told, block)).drop("own").join(odd, "set").select("route", "i", "j", "set", "n_shingles", "odd")
     near = meet.repartition("route", "i", "j").sortWithinPartitions("route", "i", "j").mapInArrow(partial(_near, like), "a bigint, b bigint")
-    narrow = settle(_pieces(near))
-    small = whole.filter(F.col("n") <= block).unionByName(narrow.filter(F.col("n") <= WHOLE * block))
+    found = settle(_pieces(near))
+    small = found.filter(F.col("n") <= WHOLE * block)
     small = small.select(F.col("root").alias("route"), "set", F.ceil(F.col("n") / block).cast("int").alias("n"))
-    vast = narrow.filter(F.col("n") > WHOLE * block).select("set")
-    return _cells(small.unionAll(_by_mark(_recounted(in_wide.join(vast, "set")), block)))
+    vast = found.filter(F.col("n") > WHOLE * block).select("set")
+    return _cells(small.unionAll(_by_mark(_recounted(told.join(vast, "set")), block)))
 
 
 def _hits(sets: DataFrame, marked: Callable[[Broadcast | None], DataFrame], most: int = MOST_BITS) -> DataFrame:

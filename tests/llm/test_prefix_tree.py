@@ -168,3 +168,27 @@ def test_hits_know_how_many_sets_their_mark_has(spark):
     met = prefix_tree._by_mark(given, 4)
     assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
     assert {(r["route"], r["n"]) for r in met.collect()} == {(m, -(-len(ss) // 4)) for m, ss in of.items() if len(ss) > 1}
+
+
+def test_marks_of_the_same_sets_are_told_once(spark):
+    of = {1: {1, 2, 3}, 2: {1, 2, 3}, 3: {1, 2}, 4: {1, 3}, 5: {1, 3}, 6: {2, 3}, 7: {1, 2, 4}}
+    hits = spark.createDataFrame([(s, m, min(ss), len(ss)) for m, ss in of.items() for s in ss], "set long, mark long, least long, m long")
+    told = sorted(map(tuple, prefix_tree._told_once(hits).select("mark", "set", "m").collect()))
+    assert told == sorted((m, s, len(of[m])) for m in (1, 3, 4, 6, 7) for s in of[m])
+
+
+def test_rows_that_meet_grow_with_the_hits_when_pieces_get_wide(spark, monkeypatch):
+    """Before, only hits of pieces beyond a block met by their marks: none of the smaller table, all of the larger one."""
+    like, met, by_mark = prefix_tree.Likeness(5, 4, 5), [], prefix_tree._by_mark
+
+    def counted(hits, block):
+        met.append(hits.count())
+        return by_mark(hits, block)
+
+    monkeypatch.setattr(prefix_tree, "_by_mark", counted)
+    for n in (40, 200):
+        passage = " ".join(f"p{k}" for k in range(40))
+        texts = [f"{passage} " + " ".join(f"w{i // 2}x{k}" for k in range(20 - i % 2)) for i in range(n)]
+        found = by_id(prefix_tree.jaccard_components(documents(spark, texts), 50, like))
+        assert [found[k]["component_id"] for k in range(n)] == [k - k % 2 for k in range(n)]
+    assert 0 < met[2] <= 1.5 * 5 * met[0]

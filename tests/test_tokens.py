@@ -3,9 +3,11 @@ import random
 import regex
 from pyspark.sql import functions as F
 
+from tagloom.functions import scale
 from tagloom.functions import text as tx
 from tagloom.functions.arrays import running_total
 from tagloom.operators import tokens as tk
+from tagloom.plans import views
 
 
 # what a whole word looks like under each answer, as classes of its characters
@@ -108,3 +110,19 @@ def test_sanitize(spark):
     df = spark.createDataFrame([("a\tb", "O", ["x=\n"]), ("", "O", []), ("c", "", [])], "form string, tag string, features array<string>")
     rows = tk.sanitize(df).collect()
     assert [(r["form"], r["features"]) for r in rows] == [("a\\tb", ["x=\\n"])]
+
+
+def test_clustered_sentences_regroup_without_another_shuffle(spark, tmp_path):
+    docs = [(1, "Aspirin (ASA) 5mg\n\t\n x \U0001d400b\n"), (2, "é¼ - a_b"), (2, "twice"), (None, "no id"), (3, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    plain, dealt = (views.located(spark, str(tmp_path), c).select("sid", "tokens") for c in (False, True))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect())) and plain.filter("size(tokens) = 0").count() == 1
+    grouped = dealt.select("sid", F.posexplode("tokens")).groupBy("sid").agg(F.collect_list("col"))
+    assert "ENSURE_REQUIREMENTS" not in grouped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_grow_with_the_text(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "x" * 1000) for i in range(100)], "doc_id long, text string").coalesce(1)
+    assert scale.spread(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(scale, "TASK_BYTES", 5000)
+    assert scale.spread(rows).rdd.getNumPartitions() >= 20 and scale.by_sentence(rows.withColumnRenamed("doc_id", "sid")).rdd.getNumPartitions() >= 20
